@@ -1,0 +1,49 @@
+"""Every registered query against its SQL equivalent in DuckDB."""
+
+import glob
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    yield connection
+    connection.close()
+
+
+def rows_by_sorted_columns(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query(spark, sql, name):
+    frame = contract.queries()[name](spark, SF_DIR)
+    got = rows_by_sorted_columns(frame.columns, frame.collect())
+    cursor = sql.execute(contract.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    want = rows_by_sorted_columns(columns, cursor.fetchall())
+    assert sorted(frame.columns) == sorted(columns)
+    assert got.total() > 0
+    assert got == want
+
+
+def test_every_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+def test_entry_is_lazy_and_stable(spark):
+    frame = contract.entry(spark)
+    assert frame.columns == list(contract.RESULT_COLUMNS)
+    assert frame.count() > 0
