@@ -125,9 +125,9 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same documents in one file each."""
+    """One document per file, each an array of many entries."""
     path = new_folder(spark, "feature-files")
-    texts = adapter.feature_document_texts(spark, sf_dir).select("value")
+    texts = adapter.feature_array_documents(spark, sf_dir)
     texts.write.option("maxRecordsPerFile", 1).text(path)
     return cm.feature_rows(cm.feature_documents(spark, path, file_filter="*.txt"))
 
@@ -311,6 +311,11 @@ _SHAPED = f"""SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN track_id END
     WHERE p_partkey % 10 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 7 = 0"""
 _DOCUMENTS = f"SELECT {_FEATURE_NAMES} FROM ({_SHAPED}) AS s"
 
+_ARRAYS = f"""SELECT {_FEATURE_NAMES.replace('tempo', 'CASE WHEN p_partkey % 3 <> 0 THEN tempo END AS tempo')}
+    FROM (SELECT *, min(p_partkey) OVER (PARTITION BY p_partkey // 500) AS first_key
+          FROM ({_FEATURES}) AS f) AS g
+    WHERE first_key % 3 <> 0"""
+
 
 def _edge(m: int, a: int, values: str, name: str) -> str:
     count = values.count(",") + 1
@@ -358,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
             " FROM lineitem"
         ),
         "feature_documents": _DOCUMENTS,
-        "feature_document_files": _DOCUMENTS,
+        "feature_document_files": _ARRAYS,
         "gzip_documents": _DOCUMENTS,
         "landing_inventory": (
             "SELECT p_brand AS folder, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS bytes"

@@ -7,13 +7,50 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import FEATURE_ENTRY, REQUIRED_KEYS
+from ..schemas import REQUIRED_KEYS
 
+JSON_SPACE = " \t\r\n"
 
-def parse_entries(text: Column, mode: str) -> Column:
-    """Entries of a document; a lone object counts as an array of one."""
-    return F.from_json(text, f"array<{FEATURE_ENTRY.simpleString()}>", {"mode": mode})
+
+def parse_entries(text: Column, entry: T.StructType, mode: str) -> Column:
+    """Entries of a document; a lone object counts as an array of one.
+
+    The text is parsed inside brackets, so that anything after the end of the
+    document makes it malformed. Parsed as it is, the rest would be ignored.
+    """
+    body = F.trim(text, F.lit(JSON_SPACE))
+    wrapped = F.concat(F.lit("["), body, F.lit("]"))
+
+    def parsed(ddl: str) -> Column:
+        return F.from_json(wrapped, ddl, {"mode": mode})
+
+    one = entry.simpleString()
+    return (
+        F.when(body.startswith("["), F.get(parsed(f"array<array<{one}>>"), F.lit(0)))
+        .when(body != "", parsed(f"array<{one}>"))
+    )
+
+
+def first_entry(entries: Column) -> Column:
+    return F.get(entries, F.lit(0))
+
+
+def not_a_document(entries: Column) -> Column:
+    """No entries could be parsed, or the first one is a bare null."""
+    return entries.isNull() | ((F.size(entries) > 0) & first_entry(entries).isNull())
+
+
+def has_wrong_types(text_entries: Column) -> Column:
+    """Whether some measure, parsed as text, is there but is not a number."""
+    return F.exists(
+        text_entries,
+        lambda entry: reduce(
+            operator.or_,
+            (entry[k].isNotNull() & entry[k].try_cast("double").isNull() for k in REQUIRED_KEYS),
+        ),
+    )
 
 
 def has_required_keys(text: Column, entries: Column) -> Column:
@@ -23,7 +60,7 @@ def has_required_keys(text: Column, entries: Column) -> Column:
     values is null, all keys are there and that settles it; only the few
     documents with a null go back to the text to look at the key names.
     """
-    first = F.get(entries, F.lit(0))
+    first = first_entry(entries)
     nothing_null = reduce(operator.and_, (first[k].isNotNull() for k in REQUIRED_KEYS))
     first_text = F.coalesce(F.get_json_object(text, "$[0]"), text)
     missing = F.array_except(

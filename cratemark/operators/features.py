@@ -5,41 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.documents import has_required_keys, parse_entries
-from ..schemas import REQUIRED_KEYS
+from ..functions.documents import (
+    has_required_keys,
+    has_wrong_types,
+    not_a_document,
+    parse_entries,
+)
+from ..schemas import FEATURE_ENTRY, FEATURE_ENTRY_TEXT, REQUIRED_KEYS
+
+# The tests on ``entries`` below sit inside the generator and not in a filter.
+# A filter would be pushed below the projection and parse every document again.
+
+
+def _parsed(documents: DataFrame, failing: bool) -> DataFrame:
+    text = F.col("value")
+    if failing:
+        entries = parse_entries(text, FEATURE_ENTRY, "FAILFAST")
+    else:
+        entries = parse_entries(text, FEATURE_ENTRY_TEXT, "PERMISSIVE")
+    return documents.select(text, entries.alias("entries"))
 
 
 def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     """The eleven feature columns, one row per entry of each accepted document.
 
     A document is accepted if its first entry has all required keys; this drops
-    error bodies. Later entries may lack keys and then give nulls. Text that is
-    not such JSON fails the job, or with ``malformed="skip"`` gives no rows;
+    error bodies. Later entries may lack keys and then give nulls; an empty
+    array and a null among the entries give nothing.
+
+    A text that is not such JSON, or has something other than a number for a
+    measure, fails the job. With ``malformed="skip"`` it gives no rows, and
     ``rejected_documents`` shows it.
     """
     if malformed not in ("fail", "skip"):
         raise ValueError(f"malformed must be fail or skip, not {malformed!r}")
-    failing = malformed == "fail"
     text, entries = F.col("value"), F.col("entries")
     accepted = F.when(has_required_keys(text, entries), entries)
-    if failing:
+    if malformed == "fail":
         message = F.concat(F.lit("not a feature document: "), text)
-        accepted = F.when(entries.isNull(), F.raise_error(message)).otherwise(accepted)
-    # The gate sits inside the generator and not in a filter: a filter would be
-    # pushed below the projection and parse every document a second time.
-    parsed = documents.select(
-        text, parse_entries(text, "FAILFAST" if failing else "PERMISSIVE").alias("entries")
-    )
+        accepted = F.when(not_a_document(entries), F.raise_error(message)).otherwise(accepted)
+    else:
+        accepted = F.when(~not_a_document(entries) & ~has_wrong_types(entries), accepted)
+
+    def measure(key: str):
+        number = F.col(f"entry.{key}").cast("double")
+        return (number.cast("bigint") if key == "duration_ms" else number).alias(key)
+
     return (
-        parsed.select(F.explode(accepted).alias("entry"))
-        .select("entry.*")
-        .select(
-            F.col("id").cast("string").alias("track_id"),
-            *[F.col(k).cast("bigint") if k == "duration_ms" else F.col(k) for k in REQUIRED_KEYS],
-        )
+        _parsed(documents, malformed == "fail")
+        .select(F.explode(accepted).alias("entry"))
+        .where(F.col("entry").isNotNull())
+        .select(F.col("entry.id").alias("track_id"), *[measure(k) for k in REQUIRED_KEYS])
     )
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
-    """The documents that ``feature_rows(malformed="skip")`` cannot parse."""
-    return documents.where(parse_entries(F.col("value"), "PERMISSIVE").isNull())
+    """The texts that ``feature_rows(malformed="skip")`` passes over."""
+    entries = F.col("entries")
+    rejected = not_a_document(entries) | has_wrong_types(entries)
+    return _parsed(documents, failing=False).select(
+        F.explode(F.when(rejected, F.array("value"))).alias("value")
+    )

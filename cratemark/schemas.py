@@ -81,3 +81,5 @@ PLAYLIST = T.StructType(
 FEATURE_ENTRY = T.StructType(
     _strings(["id"]) + [T.StructField(n, T.DoubleType()) for n in REQUIRED_KEYS]
 )
+# The same with every value as text, to look at values before converting them.
+FEATURE_ENTRY_TEXT = T.StructType(_strings(("id",) + REQUIRED_KEYS))
