@@ -100,11 +100,8 @@ def playlist_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def track_frames_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Track frames of two landings, put together."""
-    frames = []
-    for _ in range(2):
-        frames.append(cm.track_rows(cm.playlist_items(_landed_playlists(spark, sf_dir))))
-    return cm.combine(frames)
+    """Track frames of two origins, put together: documents and tables."""
+    return cm.combine([playlist_flatten(spark, sf_dir), adapter.tracks(spark, sf_dir)])
 
 
 def fetch_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:

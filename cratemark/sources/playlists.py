@@ -2,40 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.documents import JSON_SPACE
 from ..schemas import PLAYLIST
 
 FILE_NAME_ID = r"^playlist_(.+?)\.json(?:\.gz)?$"
 
 
+def _id_in_file_name() -> Column:
+    name = F.regexp_extract(F.col("_metadata.file_name"), FILE_NAME_ID, 1)
+    return F.nullif(name, F.lit(""))
+
+
 def playlists(
     spark: SparkSession,
     path: str | list[str],
     *,
     lines: bool = False,
-    id_from_file_name: bool = False,
-    mode: str = "FAILFAST",
+    id_from: str = "document",
 ) -> DataFrame:
     """Columns ``playlist_id`` and ``items``, one row per document.
 
-    ``path`` may be a file, a folder, a glob or a list of them. By default each
-    file is one document, however it is laid out; ``lines=True`` reads one
-    document per line, which Spark can split and which suits large volumes.
-    ``*.gz`` files are decompressed by the reader.
+    ``path`` may be a file, a folder, a glob or a list of them; ``*.gz`` files
+    are decompressed by the reader. By default each file is one document,
+    however it is laid out. ``lines=True`` reads one document per line, which
+    Spark can split and which suits large volumes. Malformed text fails the job.
 
-    The id comes from the document's own ``playlist_id`` key or a
-    ``playlist_id=…`` folder, or with ``id_from_file_name`` from a file named
-    ``playlist_<id>.json``.
+    The id comes from the ``playlist_id`` key of the ``document``, from a
+    ``file_name`` like ``playlist_<id>.json``, or from a ``folder`` like
+    ``playlist_id=<id>``; selecting one such folder reads only that folder.
     """
-    documents = (
-        spark.read.schema(PLAYLIST)
-        .option("multiLine", not lines)
-        .option("mode", mode)
-        .json(path)
+    if id_from not in ("document", "file_name", "folder"):
+        raise ValueError(f"id_from must be document, file_name or folder, not {id_from!r}")
+    if lines:
+        documents = spark.read.schema(PLAYLIST).option("mode", "FAILFAST").json(path)
+        found = _id_in_file_name() if id_from == "file_name" else F.col("playlist_id")
+        return documents.select(found.alias("playlist_id"), "items")
+
+    # The JSON reader would take the first document of a file and ignore what
+    # follows. Inside brackets, anything after it is an error. The generator
+    # tests its input, as a filter would parse every document a second time.
+    schema = "value string" + (", playlist_id string" if id_from == "folder" else "")
+    texts = spark.read.schema(schema).text(path, wholetext=True)
+    wrapped = F.concat(F.lit("["), F.trim("value", F.lit(JSON_SPACE)), F.lit("]"))
+    parsed = F.from_json(wrapped, f"array<{PLAYLIST.simpleString()}>", {"mode": "FAILFAST"})
+    outer_id = {
+        "document": F.lit(None).cast("string"),
+        "file_name": _id_in_file_name(),
+        "folder": F.col("playlist_id"),
+    }[id_from]
+    failure = F.raise_error("a playlist file must hold one document")
+    documents = F.when(F.size("documents") == 1, F.col("documents")).otherwise(failure)
+    found = "document.playlist_id" if id_from == "document" else "outer_id"
+    return (
+        texts.select(outer_id.alias("outer_id"), parsed.alias("documents"))
+        .select("outer_id", F.explode(documents).alias("document"))
+        .select(F.col(found).alias("playlist_id"), "document.items")
     )
-    if id_from_file_name:
-        name = F.regexp_extract(F.col("_metadata.file_name"), FILE_NAME_ID, 1)
-        return documents.select(F.nullif(name, F.lit("")).alias("playlist_id"), "items")
-    return documents.select("playlist_id", "items")

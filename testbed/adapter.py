@@ -22,7 +22,7 @@ UNIT_FEATURES = {
     "instrumentalness": (67867967, 61),
     "liveness": (86028121, 71),
 }
-PAGE_ROWS = 50
+PAGE_ROWS = 100_000
 ENTRIES = 500
 
 
@@ -57,8 +57,9 @@ def lineitem_tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = Non
     """The tracks table plus ``playlist_id``, the second artist, and the page the
     item would be delivered on: one row per line item.
 
-    Pages cut each scan partition into runs of ``PAGE_ROWS`` rows, so that a page
-    stays small however many items a playlist has.
+    Pages cut each scan partition into runs of ``PAGE_ROWS`` rows. So a page is
+    of bounded size (25 MB of JSON) however many items a playlist has, and since
+    they are numbered straight off the scan, a task run again numbers them alike.
     """
     page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
     items = table(spark, sf_dir, "lineitem").select(
@@ -87,7 +88,8 @@ def tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = None) -> Dat
 
 
 def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column ``value``: playlist documents as JSON text, one per page."""
+    """Column ``value``: playlist documents as JSON text, one per playlist and
+    page."""
     artists = F.array(
         F.struct(F.col("artist_name").alias("name")),
         F.struct(F.col("second_artist").alias("name")),
@@ -96,6 +98,8 @@ def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     track = F.struct(F.col("track_id").alias("id"), "name", album.alias("album"))
     return (
         lineitem_tracks(spark, sf_dir)
+        # Collecting shrinks nothing, so it is done after the shuffle only.
+        .repartition("playlist_id", "page")
         .groupBy("playlist_id", "page")
         .agg(F.collect_list(F.struct(track.alias("track"))).alias("items"))
         .select(F.to_json(F.struct("playlist_id", "items")).alias("value"))

@@ -1,0 +1,150 @@
+"""Feature documents: shapes, the gate, malformed text, layouts."""
+
+import gzip
+import json
+
+import pytest
+
+import cratemark as cm
+from cratemark.schemas import FEATURE_COLUMNS, REQUIRED_KEYS
+
+FULL = {k: (200000 if k == "duration_ms" else 0.25) for k in REQUIRED_KEYS}
+
+
+def full(track_id="t", **changes):
+    return {"id": track_id, **FULL, "type": "audio_features", **changes}
+
+
+def without(key, **changes):
+    return {k: v for k, v in full(**changes).items() if k != key}
+
+
+def documents(spark, *texts):
+    texts = [t if isinstance(t, str) else json.dumps(t) for t in texts]
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def ids(frame):
+    return sorted((r.track_id for r in frame.collect()), key=repr)
+
+
+def test_object(spark):
+    frame = cm.feature_rows(documents(spark, full("a", tempo=120)))
+    assert frame.columns == list(FEATURE_COLUMNS)
+    types = {f.name: f.dataType.simpleString() for f in frame.schema}
+    assert types.pop("track_id") == "string" and types.pop("duration_ms") == "bigint"
+    assert set(types.values()) == {"double"}
+    row = frame.first().asDict()
+    assert row == {"track_id": "a", **FULL, "tempo": 120.0}
+
+
+@pytest.mark.parametrize(
+    ("document", "want"),
+    [
+        ([full("a"), full("b")], ["a", "b"]),
+        ([full("a"), {"id": "b"}], ["a", "b"]),
+        ([{"id": "a"}, full("b")], []),
+        ([full("a"), None], ["a"]),
+        ([], []),
+        ({}, []),
+        ({"error": {"status": 404}}, []),
+        (full("a", energy=None), ["a"]),
+        ([full("a", energy=None, tempo=None)], ["a"]),
+        (without("id"), [None]),
+        ({k: None for k in REQUIRED_KEYS}, [None]),
+        (full(7), ["7"]),
+        (full("a", duration_ms=210000.0), ["a"]),
+        ("\n  " + json.dumps(full("a"), indent=2) + " \n", ["a"]),
+        ("\r\n\t[\n" + json.dumps(full("a", energy=None)) + "\n]\n", ["a"]),
+        *[(without(key), []) for key in REQUIRED_KEYS],
+        *[([without(key), full("b")], []) for key in REQUIRED_KEYS],
+    ],
+)
+def test_gate(spark, document, want):
+    frame = documents(spark, document)
+    assert ids(cm.feature_rows(frame)) == want
+    assert ids(cm.feature_rows(frame, malformed="skip")) == want
+    assert cm.rejected_documents(frame).count() == 0
+
+
+def test_later_entries_get_nulls(spark):
+    rows = cm.feature_rows(documents(spark, [full("a"), {"id": "b", "energy": 0.9}])).collect()
+    second = next(r for r in rows if r.track_id == "b").asDict()
+    assert second.pop("energy") == 0.9 and second.pop("track_id") == "b"
+    assert set(second.values()) == {None}
+
+
+BROKEN = [
+    '{"id": "a", "energy": 0.5',
+    "<html>gateway timeout</html>",
+    "",
+    "5",
+    "null",
+    '"text"',
+    "[1, 2]",
+    "[null]",
+    json.dumps(full("a")) + " trailing",
+    json.dumps(full("a")) + json.dumps(full("b")),
+    json.dumps([full("a")]) + json.dumps([full("b")]),
+    json.dumps(full("a", energy="loud")),
+    json.dumps([full("a"), full("b", tempo={"bpm": 3})]),
+]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_malformed(spark, text):
+    frame = documents(spark, text, full("ok"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|not a feature document|CAST_INVALID"):
+        cm.feature_rows(frame).collect()
+    assert ids(cm.feature_rows(frame, malformed="skip")) == ["ok"]
+    assert [r.value for r in cm.rejected_documents(frame).collect()] == [text]
+
+
+def test_skip_gives_the_same_values(spark):
+    frame = documents(spark, full("a", loudness=-7.123456789012345, valence=1e-9, tempo=99))
+    assert cm.feature_rows(frame).collect() == cm.feature_rows(frame, malformed="skip").collect()
+
+
+def test_nothing_accepted_is_an_empty_table(spark):
+    frame = cm.feature_rows(documents(spark, {"error": 1}))
+    assert frame.columns == list(FEATURE_COLUMNS) and frame.count() == 0
+
+
+def test_malformed_argument(spark):
+    with pytest.raises(ValueError):
+        cm.feature_rows(documents(spark, {}), malformed="ignore")
+
+
+def test_one_file_per_track(spark, tmp_path):
+    """Two hundred files, plain and compressed, of every shape."""
+    want = []
+    for k in range(1, 201):
+        document = full(f"t{k}")
+        if k % 11 == 0:
+            document.pop("id")
+        if k % 10 == 0:
+            document = {"error": {"status": 404}}
+        elif k % 7 == 0:
+            document = [document]
+        if k % 10:
+            want.append(None if k % 11 == 0 else f"t{k}")
+        text = json.dumps(document, indent=1).encode()
+        if k % 3 == 0:
+            (tmp_path / f"audio_features_t{k}.json.gz").write_bytes(gzip.compress(text))
+        else:
+            (tmp_path / f"audio_features_t{k}.json").write_bytes(text)
+    (tmp_path / "notes.txt").write_text("not a document")
+    frame = cm.feature_documents(spark, str(tmp_path))
+    assert frame.count() == 200
+    assert frame.rdd.getNumPartitions() < 50
+    assert ids(cm.feature_rows(frame)) == sorted(want, key=repr)
+    glob = cm.feature_documents(spark, f"{tmp_path}/audio_features_*.json")
+    assert glob.count() == 134
+
+
+def test_lines(spark, tmp_path):
+    lines = [json.dumps(full("a")), "", json.dumps([full("b"), full("c")]), "   "]
+    (tmp_path / "batch.jsonl").write_text("\n".join(lines))
+    (tmp_path / "batch2.jsonl.gz").write_bytes(gzip.compress(json.dumps(full("d")).encode()))
+    frame = cm.feature_documents(spark, str(tmp_path), lines=True)
+    assert ids(cm.feature_rows(frame)) == ["a", "b", "c", "d"]
