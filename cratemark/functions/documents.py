@@ -9,27 +9,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import REQUIRED_KEYS
+from ..schemas import FEATURE_ENTRY_TEXT, REQUIRED_KEYS
 
-JSON_SPACE = " \t\r\n"
 
+def is_object(text: Column) -> Column:
+    return text.startswith("{") | text.rlike(r"^\s*\{")
 
-def parse_entries(text: Column, entry: T.StructType, mode: str) -> Column:
-    """Entries of a document; a lone object counts as an array of one.
 
-    The text is parsed inside brackets, so that anything after the end of the
-    document makes it malformed. Parsed as it is, the rest would be ignored.
-    """
-    body = F.trim(text, F.lit(JSON_SPACE))
-    wrapped = F.concat(F.lit("["), body, F.lit("]"))
+def is_array(text: Column) -> Column:
+    return text.startswith("[") | text.rlike(r"^\s*\[")
+
+
+def in_brackets(text: Column) -> Column:
+    """``text`` as the only element of an array. Parsed like this, anything
+    after the end of a document is an error; as it is, it would be ignored."""
+    return F.concat(F.lit("["), text, F.lit("]"))
+
+
+def parse_entries(text: Column, entry: T.StructType, mode: str) -> Column:
+    """Entries of a document; a lone object counts as an array of one. Null if
+    the text is neither."""
 
     def parsed(ddl: str) -> Column:
-        return F.from_json(wrapped, ddl, {"mode": mode})
+        return F.from_json(in_brackets(text), ddl, {"mode": mode})
 
     one = entry.simpleString()
-    return (
-        F.when(body.startswith("["), F.get(parsed(f"array<array<{one}>>"), F.lit(0)))
-        .when(body != "", parsed(f"array<{one}>"))
+    return F.when(is_object(text), parsed(f"array<{one}>")).when(
+        is_array(text), F.get(parsed(f"array<array<{one}>>"), F.lit(0))
     )
 
 
@@ -42,15 +48,23 @@ def not_a_document(entries: Column) -> Column:
     return entries.isNull() | ((F.size(entries) > 0) & first_entry(entries).isNull())
 
 
-def has_wrong_types(text_entries: Column) -> Column:
-    """Whether some measure, parsed as text, is there but is not a number."""
-    return F.exists(
-        text_entries,
-        lambda entry: reduce(
-            operator.or_,
-            (entry[k].isNotNull() & entry[k].try_cast("double").isNull() for k in REQUIRED_KEYS),
+def _no_measure_is_null(entry: Column) -> Column:
+    return reduce(operator.and_, (entry[k].isNotNull() for k in REQUIRED_KEYS))
+
+
+def has_wrong_types(text: Column, entries: Column) -> Column:
+    """Whether a measure is there but is not a number, so that lenient parsing
+    made it null. Only documents with nulls are parsed as text to find out."""
+    as_text = parse_entries(text, FEATURE_ENTRY_TEXT, "PERMISSIVE")
+    lost = F.zip_with(
+        entries,
+        as_text,
+        lambda number, raw: reduce(
+            operator.or_, (number[k].isNull() & raw[k].isNotNull() for k in REQUIRED_KEYS)
         ),
     )
+    clean = (F.size(entries) == 1) & _no_measure_is_null(first_entry(entries))
+    return F.when(clean, False).otherwise(F.exists(lost, lambda one: one))
 
 
 def has_required_keys(text: Column, entries: Column) -> Column:
@@ -60,10 +74,10 @@ def has_required_keys(text: Column, entries: Column) -> Column:
     values is null, all keys are there and that settles it; only the few
     documents with a null go back to the text to look at the key names.
     """
-    first = first_entry(entries)
-    nothing_null = reduce(operator.and_, (first[k].isNotNull() for k in REQUIRED_KEYS))
-    first_text = F.coalesce(F.get_json_object(text, "$[0]"), text)
+    first_text = F.when(is_object(text), text).otherwise(F.get_json_object(text, "$[0]"))
     missing = F.array_except(
         F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.json_object_keys(first_text)
     )
-    return (F.size(entries) > 0) & (nothing_null | (F.size(missing) == 0))
+    return (F.size(entries) > 0) & (
+        _no_measure_is_null(first_entry(entries)) | (F.size(missing) == 0)
+    )

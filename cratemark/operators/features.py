@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.documents import (
@@ -11,19 +11,20 @@ from ..functions.documents import (
     not_a_document,
     parse_entries,
 )
-from ..schemas import FEATURE_ENTRY, FEATURE_ENTRY_TEXT, REQUIRED_KEYS
+from ..schemas import FEATURE_ENTRY, REQUIRED_KEYS
 
 # The tests on ``entries`` below sit inside the generator and not in a filter.
 # A filter would be pushed below the projection and parse every document again.
 
 
-def _parsed(documents: DataFrame, failing: bool) -> DataFrame:
+def _parsed(documents: DataFrame, mode: str) -> DataFrame:
     text = F.col("value")
-    if failing:
-        entries = parse_entries(text, FEATURE_ENTRY, "FAILFAST")
-    else:
-        entries = parse_entries(text, FEATURE_ENTRY_TEXT, "PERMISSIVE")
-    return documents.select(text, entries.alias("entries"))
+    return documents.select(text, parse_entries(text, FEATURE_ENTRY, mode).alias("entries"))
+
+
+def _rejected() -> Column:
+    text, entries = F.col("value"), F.col("entries")
+    return not_a_document(entries) | has_wrong_types(text, entries)
 
 
 def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
@@ -42,17 +43,17 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     text, entries = F.col("value"), F.col("entries")
     accepted = F.when(has_required_keys(text, entries), entries)
     if malformed == "fail":
-        message = F.concat(F.lit("not a feature document: "), text)
-        accepted = F.when(not_a_document(entries), F.raise_error(message)).otherwise(accepted)
+        failure = F.raise_error("not a feature document; rejected_documents() finds it")
+        accepted = F.when(not_a_document(entries), failure).otherwise(accepted)
     else:
-        accepted = F.when(~not_a_document(entries) & ~has_wrong_types(entries), accepted)
+        accepted = F.when(~_rejected(), accepted)
 
-    def measure(key: str):
-        number = F.col(f"entry.{key}").cast("double")
-        return (number.cast("bigint") if key == "duration_ms" else number).alias(key)
+    def measure(key: str) -> Column:
+        number = F.col(f"entry.{key}")
+        return number.cast("bigint").alias(key) if key == "duration_ms" else number
 
     return (
-        _parsed(documents, malformed == "fail")
+        _parsed(documents, "FAILFAST" if malformed == "fail" else "PERMISSIVE")
         .select(F.explode(accepted).alias("entry"))
         .where(F.col("entry").isNotNull())
         .select(F.col("entry.id").alias("track_id"), *[measure(k) for k in REQUIRED_KEYS])
@@ -61,8 +62,6 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """The texts that ``feature_rows(malformed="skip")`` passes over."""
-    entries = F.col("entries")
-    rejected = not_a_document(entries) | has_wrong_types(entries)
-    return _parsed(documents, failing=False).select(
-        F.explode(F.when(rejected, F.array("value"))).alias("value")
+    return _parsed(documents, "PERMISSIVE").select(
+        F.explode(F.when(_rejected(), F.array("value"))).alias("value")
     )

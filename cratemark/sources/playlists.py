@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.documents import JSON_SPACE
+from ..functions.documents import in_brackets
 from ..schemas import PLAYLIST
 
 FILE_NAME_ID = r"^playlist_(.+?)\.json(?:\.gz)?$"
@@ -42,12 +42,13 @@ def playlists(
         return documents.select(found.alias("playlist_id"), "items")
 
     # The JSON reader would take the first document of a file and ignore what
-    # follows. Inside brackets, anything after it is an error. The generator
-    # tests its input, as a filter would parse every document a second time.
+    # follows. The generator tests its input, as a filter would parse every
+    # document a second time.
     schema = "value string" + (", playlist_id string" if id_from == "folder" else "")
     texts = spark.read.schema(schema).text(path, wholetext=True)
-    wrapped = F.concat(F.lit("["), F.trim("value", F.lit(JSON_SPACE)), F.lit("]"))
-    parsed = F.from_json(wrapped, f"array<{PLAYLIST.simpleString()}>", {"mode": "FAILFAST"})
+    parsed = F.from_json(
+        in_brackets(F.col("value")), f"array<{PLAYLIST.simpleString()}>", {"mode": "FAILFAST"}
+    )
     outer_id = {
         "document": F.lit(None).cast("string"),
         "file_name": _id_in_file_name(),

@@ -98,3 +98,41 @@ def test_hot_ids_are_observed(spark):
 
 def test_nothing_observed(spark, tracks):
     assert cm.hot_ids(observed(tracks.where("false")), min_rows=1) == []
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+}
+
+
+def test_plain_join_splits_a_hot_id_at_run_time(spark, tmp_path):
+    """A third of the tracks is one hit: no task gets all of it."""
+    hit = F.when(F.col("id") % 3 == 0, "hit").otherwise(F.col("id").cast("string"))
+    name = F.repeat(F.sha2(F.col("id").cast("string"), 256), 2)
+    ids = spark.range(0, 60_000, 1, 16)
+    cm.write_table(ids.select(hit.alias("track_id"), name.alias("name")), str(tmp_path / "t"))
+    cm.write_table(
+        ids.select(hit.alias("track_id"), F.lit(0.5).alias("energy")).distinct(), str(tmp_path / "f")
+    )
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        joined = cm.attach_features(
+            spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "f"))
+        )
+        per_task = joined.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count_if(F.col("track_id") == "hit").alias("hits"),
+            F.count(F.lit(1)).alias("rows"),
+            F.max("name").alias("name"),  # keeps the wide column in the shuffle
+        )
+        tasks = per_task.collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert sum(t.rows for t in tasks) == 60_000 and sum(t.hits for t in tasks) == 20_000
+    assert max(t.hits for t in tasks) < 10_000

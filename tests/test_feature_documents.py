@@ -86,7 +86,11 @@ BROKEN = [
     json.dumps(full("a")) + " trailing",
     json.dumps(full("a")) + json.dumps(full("b")),
     json.dumps([full("a")]) + json.dumps([full("b")]),
+    json.dumps([full("a"), 5]),
+    json.dumps([full("a"), [full("b")]]),
     json.dumps(full("a", energy="loud")),
+    json.dumps(full("a", energy="0.5")),
+    json.dumps(full("a", tempo=True)),
     json.dumps([full("a"), full("b", tempo={"bpm": 3})]),
 ]
 
