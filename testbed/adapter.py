@@ -133,11 +133,11 @@ def feature_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column ``value``: array documents of up to ``ENTRIES`` parts with adjacent
-    keys, in key order. Parts whose key is a multiple of 3 lack their tempo, so
-    that an array which begins with one is to be dropped as a whole.
+    keys, in key order. Parts whose key leaves 2 when divided by 3 lack their
+    tempo, so that an array which begins with one is to be dropped as a whole.
     """
     rows = part_features(spark, sf_dir).withColumn("k", F.col("track_id").cast("bigint"))
-    tempo = F.when(F.col("k") % 3 != 0, F.col("tempo")).alias("tempo")
+    tempo = F.when(F.col("k") % 3 != 2, F.col("tempo")).alias("tempo")
     columns = [tempo if name == "tempo" else F.col(name) for name in REQUIRED_KEYS]
     entry = F.struct("k", F.struct(F.col("track_id").alias("id"), *columns).alias("entry"))
     in_order = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["entry"])

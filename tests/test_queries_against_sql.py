@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 from collections import Counter
 
 import duckdb
@@ -30,6 +31,8 @@ def rows_by_sorted_columns(columns, rows):
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query(spark, sql, name):
     frame = contract.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
     got = rows_by_sorted_columns(frame.columns, frame.collect())
     cursor = sql.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
