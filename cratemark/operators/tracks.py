@@ -6,12 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def playlist_items(documents: DataFrame) -> DataFrame:
+def playlist_items(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     """One row per playlist item that has a track: ``playlist_id``, ``position``
     in the document, and the ``track`` node. A track listed twice stays twice.
+
+    A document without items, such as an error body, fails the job, or with
+    ``malformed="skip"`` gives no rows.
     """
+    if malformed not in ("fail", "skip"):
+        raise ValueError(f"malformed must be fail or skip, not {malformed!r}")
+    items = F.col("items")
+    if malformed == "fail":
+        failure = F.raise_error("a playlist document has no items")
+        items = F.when(items.isNull(), failure).otherwise(items)
     return (
-        documents.select("playlist_id", F.posexplode("items").alias("position", "item"))
+        documents.select("playlist_id", F.posexplode(items).alias("position", "item"))
         .select("playlist_id", "position", "item.track")
         .where(F.col("track").isNotNull())
     )

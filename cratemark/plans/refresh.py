@@ -57,7 +57,8 @@ def refresh(
     if playlist_id is not None:
         playlists = in_playlist(playlists, playlist_id)
     seen = Observation()
-    tracks = track_rows(playlist_items(playlists)).observe(seen, *hot_id_metrics())
+    tracks = track_rows(playlist_items(playlists, malformed=malformed))
+    tracks = tracks.observe(seen, *hot_id_metrics())
     write_table(tracks, tables.tracks, compact=compact)
     write_table(feature_rows(documents, malformed=malformed), tables.features, compact=compact)
 

@@ -74,7 +74,7 @@ def lineitem_tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = Non
             (F.col("l_partkey") if id_of is None else id_of).cast("string").alias("track_id"),
             F.col("p_type").alias("album_type"),
             F.col("p_name").alias("name"),
-            F.date_format("l_shipdate", "yyyy-MM-dd").alias("release_date"),
+            F.col("l_shipdate").cast("date").cast("string").alias("release_date"),
             F.col("s_name").alias("artist_name"),
             F.col("p_brand").alias("second_artist"),
             F.col("l_orderkey").cast("string").alias("playlist_id"),

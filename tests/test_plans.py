@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 import cratemark as cm
 from cratemark.session import build_session, new_folder, shared_folder, shuffle_partitions
 from testbed import adapter
@@ -65,6 +67,20 @@ def test_inventory_does_not_read_contents(spark, tmp_path):
     assert "content" not in physical(cm.landing_files(spark, str(tmp_path))).split("ReadSchema")[1]
 
 
+class Settings(dict):
+    """Stands in for a session of which only the settings are asked."""
+
+    conf = property(lambda self: self)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Settings({"spark.master": "yarn"}))
+    named = Settings({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
+    assert new_folder(named, "x").startswith("hdfs:///shared/x-")
+    assert shared_folder(Settings({"spark.master": "local[8]"})).startswith("/tmp/")
+
+
 def test_session_helpers(spark):
     assert build_session(spark__sql__session__timeZone="UTC") is spark
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -142,3 +142,15 @@ def test_an_empty_file_holds_nothing(spark, tmp_path):
     (tmp_path / "p.json").touch()
     write(tmp_path / "q.json", {"items": [item("a")]})
     assert cm.playlists(spark, str(tmp_path)).count() == 1
+
+
+@pytest.mark.parametrize("text", ['{"error": {"status": 401}}', '{"items": null}'])
+@pytest.mark.parametrize("lines", [False, True])
+def test_document_without_items(spark, tmp_path, text, lines):
+    (tmp_path / "p.json").write_text(text)
+    documents = cm.playlists(spark, str(tmp_path), lines=lines)
+    with pytest.raises(Exception, match="has no items"):
+        cm.playlist_items(documents).collect()
+    assert cm.playlist_items(documents, malformed="skip").collect() == []
+    with pytest.raises(ValueError):
+        cm.playlist_items(documents, malformed="ignore")
