@@ -53,6 +53,9 @@ def refresh(
     The two base tables are written and read back. So each document is parsed
     once, and a lost executor in the join costs a re-read of Parquet columns,
     not of JSON. Hot ids are spotted while the tracks are being written.
+
+    ``compact`` evens out the files of the base tables, and of the result if it
+    is partitioned; a result that is not gets even files from the join.
     """
     if playlist_id is not None:
         playlists = in_playlist(playlists, playlist_id)
@@ -67,4 +70,10 @@ def refresh(
         classify(features_table(spark, tables.features)),
         hot_ids(seen.get, hot_min_rows),
     )
-    write_table(result, tables.result, mode=result_mode, partition_by=partition_by)
+    write_table(
+        result,
+        tables.result,
+        mode=result_mode,
+        partition_by=partition_by,
+        compact=compact and partition_by is not None,
+    )

@@ -133,7 +133,7 @@ def feature_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column ``value``: array documents of up to ``ENTRIES`` parts with adjacent
-    keys, in key order. Parts whose key leaves 2 when divided by 3 lack their
+    keys, in key order; keys are unique, so no array is longer. Parts whose key leaves 2 when divided by 3 lack their
     tempo, so that an array which begins with one is to be dropped as a whole.
     """
     rows = part_features(spark, sf_dir).withColumn("k", F.col("track_id").cast("bigint"))

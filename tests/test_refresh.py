@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 import cratemark as cm
+from cratemark.__main__ import main
 from cratemark.functions.rules import labels
 from cratemark.schemas import RESULT, RESULT_COLUMNS
 
@@ -83,7 +84,7 @@ LOUD, TALK = ("Loud", "One", "Metal🤘"), ("Talk", "Two", "Podcast🎧")
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"partition_by": "category"}, {"compact": True}, {"hot_min_rows": 1}],
+    [{}, {"partition_by": "category", "compact": True}, {"compact": True}, {"hot_min_rows": 1}],
     ids=["plain", "partitioned", "compact", "hot"],
 )
 def test_job_and_rerun(spark, landed, options):
@@ -100,6 +101,18 @@ def test_job_and_rerun(spark, landed, options):
     }
 
 
+def test_command_line(spark, landed):
+    main(
+        [
+            *("--playlists", str(landed / "playlists"), "--id-from", "file_name"),
+            *("--documents", str(landed / "features"), "--output", str(landed / "out")),
+            *("--playlist-id", "p", "--partition-by-category"),
+        ]
+    )
+    assert browsed(spark, cm.Tables.under(str(landed / "out"))) == {LOUD: 2, TALK: 1}
+    assert spark.range(1).count() == 1  # the session is left running
+
+
 def test_one_playlist(spark, landed):
     assert browsed(spark, run(spark, landed, playlist_id="q")) == {TALK: 1}
     assert browsed(spark, run(spark, landed, playlist_id="absent")) == {}
