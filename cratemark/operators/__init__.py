@@ -1,5 +1,5 @@
 """Operators: functions from DataFrames to DataFrames. None of them runs a job,
-except ``attach_hot_features``, which counts rows before it broadcasts them."""
+except ``attach_hot_features``, which measures rows before it broadcasts them."""
 
 from .attach import attach_features, attach_hot_features, hot_ids, hot_id_metrics
 from .browse import browse, in_category, in_playlist

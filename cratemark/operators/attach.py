@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
 HOT_MIN_ROWS = 1_000_000
-# About 15 MB: a feature row is ten numbers, a label and one of the hot ids.
-BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def _with_text_key(frame: DataFrame) -> DataFrame:
     return frame.withColumn("track_id", F.col("track_id").cast("string"))
 
 
+def _row_bytes(frame: DataFrame) -> Column:
+    """At least what a row takes in memory: its values as text, plus a slot for
+    each column."""
+    return F.octet_length(F.to_json(F.struct("*"))) + F.lit(16 * len(frame.columns))
+
+
 def attach_features(tracks: DataFrame, features: DataFrame) -> DataFrame:
     """Inner join on ``track_id``: the key, the track columns, the feature
     columns. Duplicates on either side multiply; null ids never match."""
@@ -54,21 +59,22 @@ def attach_hot_features(
     tracks: DataFrame,
     features: DataFrame,
     hot: Sequence[str],
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Same rows as ``attach_features``, with the hot ids joined in place.
 
-    Features of hot ids are counted first. If they are few, they are broadcast
-    to the hot tracks, which then need no shuffle, and only the other tracks
-    are shuffled. If they are many, or nothing is hot, this is the plain join.
-    Which ids are called hot affects the speed only.
+    The features of hot ids are measured first. If they are small, they are
+    broadcast to the hot tracks, which then need no shuffle, and only the other
+    tracks are shuffled. If they are not, or nothing is hot, this is the plain
+    join. Which ids are called hot affects the speed only.
     """
     tracks, features = _with_text_key(tracks), _with_text_key(features)
     if not hot:
         return attach_features(tracks, features)
     is_hot = F.col("track_id").isin(list(hot))
     hot_features = features.where(is_hot)
-    if hot_features.count() > broadcast_max_rows:
+    size = hot_features.agg(F.sum(_row_bytes(hot_features))).first()[0] or 0
+    if size > broadcast_max_bytes:
         return attach_features(tracks, features)
     in_place = tracks.where(is_hot).join(F.broadcast(hot_features), "track_id", "inner")
     return in_place.unionByName(attach_features(tracks.where(~is_hot), features.where(~is_hot)))
