@@ -111,9 +111,10 @@ def fetch_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feature documents ------------------------------------------------------
 
 
-def _landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "features")
-    adapter.feature_document_texts(spark, sf_dir).select("value").write.text(path)
+def _landed_features(spark: SparkSession, sf_dir: str, codec: str = "none") -> DataFrame:
+    path = new_folder(spark, f"features-{codec}")
+    texts = adapter.feature_document_texts(spark, sf_dir)
+    texts.write.option("compression", codec).text(path)
     return cm.feature_documents(spark, path, lines=True)
 
 
@@ -130,14 +131,13 @@ def feature_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gzip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents from a plain and a compressed folder, put together."""
-    texts = adapter.feature_document_texts(spark, sf_dir)
-    frames = []
-    for codec, chosen in (("none", F.col("k") % 3 != 0), ("gzip", F.col("k") % 3 == 0)):
-        path = new_folder(spark, f"features-{codec}")
-        texts.where(chosen).select("value").write.option("compression", codec).text(path)
-        frames.append(cm.feature_rows(cm.feature_documents(spark, path, lines=True)))
-    return cm.combine(frames)
+    """The same documents from compressed files."""
+    return cm.feature_rows(_landed_features(spark, sf_dir, "gzip"))
+
+
+def feature_frames_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature frames of two origins, put together: documents and tables."""
+    return cm.combine([feature_documents(spark, sf_dir), adapter.part_features(spark, sf_dir)])
 
 
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +215,7 @@ _QUERIES = (
     feature_documents,
     feature_document_files,
     gzip_documents,
+    feature_frames_union,
     landing_inventory,
     parquet_roundtrip,
     full_refresh_twice,
@@ -362,6 +363,9 @@ def oracle_sql() -> dict[str, str]:
         "feature_documents": _DOCUMENTS,
         "feature_document_files": _ARRAYS,
         "gzip_documents": _DOCUMENTS,
+        "feature_frames_union": (
+            f"{_DOCUMENTS} UNION ALL SELECT {_FEATURE_NAMES} FROM ({_FEATURES}) AS f"
+        ),
         "landing_inventory": (
             "SELECT p_brand AS folder, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS bytes"
             " FROM part GROUP BY p_brand"

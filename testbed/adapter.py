@@ -107,7 +107,7 @@ def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns ``k`` and ``value``: one feature document per part, as JSON text.
+    """Column ``value``: one feature document per part, as JSON text.
 
     Its shape follows the key. Every tenth is an error body. Of the others,
     every thirteenth is an array whose first entry lacks its tempo, every
@@ -122,7 +122,6 @@ def feature_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = F.to_json(F.struct(F.concat("track_id", F.lit("-b")).alias("id"), "energy"))
     array = F.lit("["), F.lit(","), F.lit("]")
     return rows.select(
-        k,
         F.when(k % 10 == 0, F.lit('{"error":{"status":404,"message":"analysis not found"}}'))
         .when(k % 13 == 0, F.concat(array[0], no_tempo, array[1], whole, array[2]))
         .when(k % 7 == 0, F.concat(array[0], whole, array[1], second, array[2]))
