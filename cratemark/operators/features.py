@@ -31,8 +31,8 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     """The eleven feature columns, one row per entry of each accepted document.
 
     A document is accepted if its first entry has all required keys; this drops
-    error bodies. Later entries may lack keys and then give nulls; an empty
-    array and a null among the entries give nothing.
+    error bodies. Later entries may lack keys and then give nulls, as does a NaN;
+    an empty array and a null among the entries give nothing.
 
     A text that is not such JSON, or has something other than a number for a
     measure, fails the job. With ``malformed="skip"`` it gives no rows, and
@@ -49,8 +49,9 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
         accepted = F.when(~_rejected(), accepted)
 
     def measure(key: str) -> Column:
-        number = F.col(f"entry.{key}")
-        return number.cast("bigint").alias(key) if key == "duration_ms" else number
+        # NaN would be above every threshold; it stands for a missing value.
+        number = F.nanvl(F.col(f"entry.{key}"), F.lit(None))
+        return (number.cast("bigint") if key == "duration_ms" else number).alias(key)
 
     return (
         _parsed(documents, "FAILFAST" if malformed == "fail" else "PERMISSIVE")

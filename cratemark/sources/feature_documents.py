@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DOCUMENT_FILES = "audio_features_*.json*"
+DOCUMENT_FILES = "audio_features_*.{json,json.gz}"
 
 
 def feature_documents(

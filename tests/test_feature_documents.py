@@ -111,6 +111,16 @@ def test_malformed(spark, text):
     assert [r.value for r in cm.rejected_documents(frame).collect()] == [text]
 
 
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    loud = full("a", energy=nan, tempo=130, acousticness=0.1, duration_ms=nan)
+    for malformed in ("fail", "skip"):
+        rows = cm.classify(cm.feature_rows(documents(spark, loud), malformed=malformed))
+        row = rows.first()
+        assert (row.track_id, row.energy, row.duration_ms) == ("a", None, None)
+        assert (row.tempo, row.category) == (130.0, "Other🦦")
+
+
 def test_skip_gives_the_same_values(spark):
     frame = documents(spark, full("a", loudness=-7.123456789012345, valence=1e-9, tempo=99))
     assert cm.feature_rows(frame).collect() == cm.feature_rows(frame, malformed="skip").collect()
@@ -145,6 +155,7 @@ def test_one_file_per_track(spark, tmp_path):
         else:
             (tmp_path / f"audio_features_t{k}.json").write_bytes(text)
     (tmp_path / "notes.txt").write_text("not a document")
+    (tmp_path / "audio_features_t0.json.part").write_text("half a docu")
     frame = cm.feature_documents(spark, str(tmp_path))
     assert frame.count() == 200
     assert frame.rdd.getNumPartitions() < 50

@@ -10,7 +10,7 @@ import pytest
 import cratemark as cm
 from cratemark.__main__ import main
 from cratemark.functions.rules import labels
-from cratemark.schemas import RESULT, RESULT_COLUMNS
+from cratemark.schemas import FEATURES, RESULT, RESULT_COLUMNS
 
 BASE = {
     "danceability": 0.1,
@@ -160,6 +160,19 @@ def test_other_formats(spark, tmp_path):
         cm.write_table(frame, path, mode="upsert")
 
 
+def test_tables_with_guessed_types(spark, tmp_path):
+    """As pandas writes them: whole-number tempos, a duration with a gap."""
+    pd = pytest.importorskip("pandas")
+    rows = [{"track_id": 1, **BASE}, {"track_id": 2, **BASE, "duration_ms": None}]
+    pd.DataFrame(rows)[FEATURES.names].to_parquet(tmp_path / "f.parquet", index=False)
+    frame = cm.features_table(spark, str(tmp_path / "f.parquet"), declared=False)
+    assert frame.schema == FEATURES
+    got = sorted((r.track_id, r.tempo, r.duration_ms) for r in frame.collect())
+    assert got == [("1", 90.0, 1000), ("2", 90.0, None)]
+    pushed = frame.where("energy > 0.1")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(energy,0.1)" in pushed
+
+
 def test_compact_merges_small_files(spark, tmp_path):
     frame = spark.range(0, 1000, 1, 50)
     cm.write_table(frame, str(tmp_path / "many"))
