@@ -9,13 +9,15 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution does the physical tuning at run time: it coalesces small
 # shuffle partitions, splits skewed ones and turns joins with a small side into
-# broadcasts. The initial partition number is therefore set high, and the
-# engine works down from it.
+# broadcasts. The initial partition number may therefore be high: Spark works
+# down from it. If every partition of a side is small, that side is hashed and
+# the other one needs no sort.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -100,6 +100,7 @@ def test_nothing_observed(spark, tracks):
     assert cm.hot_ids(observed(tracks.where("false")), min_rows=1) == []
 
 
+HASH_BELOW = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 SKEW_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -109,7 +110,8 @@ SKEW_SETTINGS = {
 }
 
 
-def test_plain_join_splits_a_hot_id_at_run_time(spark, tmp_path):
+@pytest.mark.parametrize("strategy", ["SortMergeJoin", "ShuffledHashJoin"])
+def test_plain_join_splits_a_hot_id_at_run_time(spark, tmp_path, strategy):
     """A third of the tracks is one hit: no task gets all of it."""
     hit = F.when(F.col("id") % 3 == 0, "hit").otherwise(F.col("id").cast("string"))
     name = F.repeat(F.sha2(F.col("id").cast("string"), 256), 2)
@@ -118,8 +120,10 @@ def test_plain_join_splits_a_hot_id_at_run_time(spark, tmp_path):
     cm.write_table(
         ids.select(hit.alias("track_id"), F.lit(0.5).alias("energy")).distinct(), str(tmp_path / "f")
     )
-    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
-    for key, value in SKEW_SETTINGS.items():
+    hashed = "10MB" if strategy == "ShuffledHashJoin" else "0"
+    settings = {**SKEW_SETTINGS, HASH_BELOW: hashed}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         joined = cm.attach_features(
@@ -131,8 +135,10 @@ def test_plain_join_splits_a_hot_id_at_run_time(spark, tmp_path):
             F.max("name").alias("name"),  # keeps the wide column in the shuffle
         )
         tasks = per_task.collect()
+        plan = per_task._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert sum(t.rows for t in tasks) == 60_000 and sum(t.hits for t in tasks) == 20_000
     assert max(t.hits for t in tasks) < 10_000
+    assert f"{strategy}(skew=true)" in plan
