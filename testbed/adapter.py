@@ -61,7 +61,7 @@ def lineitem_tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = Non
     of bounded size (25 MB of JSON) however many items a playlist has, and since
     they are numbered straight off the scan, a task run again numbers them alike.
     """
-    page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
+    page = F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}")
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", page.alias("page")
     )
@@ -141,7 +141,7 @@ def feature_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct("k", F.struct(F.col("track_id").alias("id"), *columns).alias("entry"))
     in_order = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["entry"])
     return (
-        rows.groupBy(F.floor(F.col("k") / ENTRIES).alias("block"))
+        rows.groupBy(F.expr(f"k div {ENTRIES}").alias("block"))
         .agg(F.to_json(in_order).alias("value"))
         .select("value")
     )
