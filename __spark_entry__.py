@@ -17,6 +17,16 @@ from cratemark.schemas import FEATURE_COLUMNS, RESULT_COLUMNS, TRACK_COLUMNS
 from cratemark.session import new_folder
 from testbed import adapter
 
+# The operators for training data are optional: without their folder, and the
+# pipeline on top of them, all other queries work as before.
+try:
+    import corpus_pipeline
+    from cratemark.llm import queries as llm_queries
+except ImportError as error:
+    if error.name not in ("corpus_pipeline", "cratemark.llm", "cratemark.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -232,7 +242,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    named = {query.__name__: query for query in _QUERIES}
+    if llm_queries is not None:
+        named |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return named
 
 
 # --- the same in SQL --------------------------------------------------------
@@ -340,7 +353,7 @@ def oracle_sql() -> dict[str, str]:
     track_rows = f"SELECT {_TRACKS} FROM ({_tracks_sql()}) AS t"
     hit = "CASE WHEN l_suppkey % 3 = 0 THEN 1 ELSE l_partkey END"
     browse = f"SELECT name, artist_name, category FROM ({_FLAGSHIP}) AS r"
-    return {
+    equivalents = {
         "categorized_tracks": _FLAGSHIP,
         "categorized_tracks_hot_key": _joined(_tracks_sql(hit)),
         "categorize_features": f"SELECT {_FEATURE_NAMES}, category FROM ({_CLASSIFIED}) AS c",
@@ -379,3 +392,8 @@ def oracle_sql() -> dict[str, str]:
             _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
         ),
     }
+    if llm_queries is not None:
+        equivalents |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            equivalents["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return equivalents
