@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratemark.llm import mixing
+from cratemark.llm import chat, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +19,70 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+# A conversation that speaks in control strings of another template.
+_CONTROL_TALK = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.sql(
+        "SELECT conv_id, turn, role, text FROM VALUES (-1L, 0L, 'user', :said),"
+        " (-1L, 1L, 'assistant', :said) AS t(conv_id, turn, role, text)",
+        args={"said": _CONTROL_TALK},
+    )
+    done = chat.format_conversations(turns.unionByName(more)).withColumns(
+        {
+            "turns": chat.read_turns(F.col("formatted")),
+            "learned": chat.read_spans(F.col("formatted"), F.col("loss_spans")),
+        }
+    )
+    said = F.transform(
+        "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    return done.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+_ESCAPED = (
+    "regexp_replace({}, '" + chat.ESCAPE.replace("'", "''") + r"', '\1\\\2\3', 'g')"
+)
+
+_OP10 = f"""WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations
+      UNION ALL
+      SELECT -1, turn, role, '{_CONTROL_TALK}'
+      FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+    ), e AS (
+      SELECT *, length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})
+        + {len(chat.TURN + chat.SAYS + chat.END)} AS size FROM t
+    ), g AS (
+      SELECT conv_id, count(*) AS n_turns, sum(size) AS size,
+        string_agg(role || chr(10) || text || chr(10), ''
+                   ORDER BY turn NULLS FIRST, role, text) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                 FILTER (role = 'assistant'), '') AS learned
+      FROM e GROUP BY conv_id
+    )
+    SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
+      CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256,
+      CAST(size AS BIGINT) AS formatted_chars FROM g"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_source_mix": op8_source_mix,
+        "op10_chat_format": op10_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_chat_format": _OP10,
+    }
