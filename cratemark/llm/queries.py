@@ -7,13 +7,59 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratemark.llm import chat, mixing
+from cratemark.llm import chat, decontaminate, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"""regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_OP4 = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    wins AS (
+      SELECT DISTINCT item_id, array_to_string(list_slice(w, pos, pos + 9), ' ') AS win, least(len(w), 10) AS n
+      FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS pos FROM i WHERE len(w) > 0)
+    ),
+    places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM d),
+    hits AS (
+      SELECT p.doc_id, p.pos, n, item_id
+      FROM (SELECT doc_id, pos, m.n AS size, array_to_string(list_slice(w, pos, pos + m.n - 1), ' ') AS win
+            FROM places, (SELECT DISTINCT n FROM wins) AS m
+            WHERE pos + m.n - 1 <= len(w)) AS p
+      JOIN wins ON p.win = wins.win AND p.size = wins.n
+    ),
+    words AS (
+      SELECT doc_id, count(DISTINCT word) AS n_hit
+      FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id
+    ),
+    items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+      CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+      sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
@@ -77,6 +123,7 @@ _OP10 = f"""WITH t AS (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_decontamination": op4_decontamination,
         "op8_source_mix": op8_source_mix,
         "op10_chat_format": op10_chat_format,
     }
@@ -84,5 +131,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_decontamination": _OP4,
         "op10_chat_format": _OP10,
     }
