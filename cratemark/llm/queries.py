@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratemark.llm import chat, decontaminate, mixing
+from cratemark.llm import chat, decontaminate, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,13 @@ _OP4 = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
@@ -124,6 +131,7 @@ _OP10 = f"""WITH t AS (
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_decontamination": op4_decontamination,
+        "op5_simhash": op5_simhash,
         "op8_source_mix": op8_source_mix,
         "op10_chat_format": op10_chat_format,
     }
