@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratemark.llm import chat, decontaminate, linededup, mixing, simhash
+from cratemark.llm import chat, decontaminate, htmltext, linededup, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs, with_counts=True)
@@ -135,6 +140,7 @@ _OP10 = f"""WITH t AS (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_html_text": op2_html_text,
         "op3_line_dedup": op3_line_dedup,
         "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
