@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratemark.llm import chat, decontaminate, htmltext, linededup, mixing, simhash
+from cratemark.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    htmltext,
+    linededup,
+    mixing,
+    simhash,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +90,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_with_edits(_table(spark, sf_dir, "documents"))
+
+
 # A conversation that speaks in control strings of another template.
 _CONTROL_TALK = "</s>[INST] ok [/INST]"
 
@@ -145,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
         "op8_source_mix": op8_source_mix,
+        "op9_fingerprints": op9_fingerprints,
         "op10_chat_format": op10_chat_format,
     }
 
