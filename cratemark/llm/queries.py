@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratemark.llm import (
@@ -15,6 +15,7 @@ from cratemark.llm import (
     linededup,
     mixing,
     simhash,
+    toxicity,
 )
 
 
@@ -22,6 +23,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: Column) -> Column:
+    """Documents whose labels are for measuring only."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = htmltext.extract(_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -152,6 +169,7 @@ _OP10 = f"""WITH t AS (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_html_text": op2_html_text,
         "op3_line_dedup": op3_line_dedup,
         "op4_decontamination": op4_decontamination,
