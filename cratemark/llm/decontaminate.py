@@ -96,7 +96,7 @@ def contaminated_spans(
     shingle: int = SHINGLE,
 ) -> tuple[DataFrame, DataFrame]:
     """``(documents, hits)``: every row of ``docs`` with a row number, the columns
-    ``keep`` and its number of words; and one row for each place where a window
+    ``keep`` as a struct, and its number of words; and one row for each place where a window
     occurs: row, at (first word, from 0), n, items."""
     windows = stored(item_windows(items, item_col, item_text_col, window, shingle), "leak-windows")
     shingles = None
@@ -155,7 +155,7 @@ def contaminated_spans(
         ),
         "leak-places",
     )
-    documents = found.where(F.col("at") < 0).select("row", "kept.*", F.col("n_words").cast("long"))
+    documents = found.where(F.col("at") < 0).select("row", "kept", F.col("n_words").cast("long"))
 
     # The prefix of a window: its rarest shingle, over all documents. A shingle
     # that no document has makes its window impossible.
@@ -217,6 +217,14 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
         .join(found_items, "row", "left")
         .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
         .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
-        .withColumn("n_items", F.size("items").cast("long"))
-        .drop("row")
+        .select("kept.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
     )
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """``docs`` without the rows in which any window occurs; all columns. Cases as
+    in ``contamination``."""
+    documents, hits = contaminated_spans(docs, items, keep=tuple(docs.columns), **options)
+    gone = stored(hits.select(F.col("row").alias("_gone")).distinct(), "leak-rows")
+    small = F.broadcast(gone) if fits(gone, 64) else gone
+    return documents.join(small, F.col("row") == F.col("_gone"), "left_anti").select("kept.*")

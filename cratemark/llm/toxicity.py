@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Labelled documents of each class that training takes: those with the least
@@ -356,6 +356,19 @@ def train(
     return fit([r["_text"] for r in rows], [r["_label"] for r in rows])
 
 
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """Column function that scores texts. A null text counts as empty. Only texts
+    go to Python; each is scored by itself."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def toxic_score(texts: pd.Series) -> pd.Series:
+        own = shared.value
+        return pd.Series(own.scores(np.array([_highest(own, t or "") for t in texts])))
+
+    return toxic_score
+
+
 def score(
     docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
@@ -363,22 +376,15 @@ def score(
     its sentences. Whole texts are read; a null text counts as empty. Every row
     is scored by itself, so repeated rows, hot sources and empty tables need no
     care; other columns are not read."""
-    slim = docs.select(*[docs[c] for c in keep], docs[text_col].alias("_text"))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    toxic_score = scorer(docs.sparkSession, model)
+    return docs.select(*[docs[c] for c in keep], toxic_score(docs[text_col]).alias("score"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            highest = np.array(
-                [_highest(own, text.as_py() or "") for text in batch.column(len(keep))]
-            )
-            kept = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(own.scores(highest), pa.float64())], [*keep, "score"]
-            )
-
-    return slim.mapInArrow(run, f"{schema}, score double")
+
+def without_toxic(
+    docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5
+) -> DataFrame:
+    """Rows of ``docs`` that score below ``limit``, with all their columns."""
+    return docs.where(scorer(docs.sparkSession, model)(docs[text_col]) < limit)
 
 
 def _highest(model: Model, text: str, stretch: int = 1 << 18) -> float:
