@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from cratemark.llm import (
     linededup,
     mixing,
     simhash,
+    tokencounts,
     toxicity,
 )
 
@@ -102,6 +104,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A public byte-level vocabulary; its next free id ends documents.
+VOCABULARY = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+END_OF_DOCUMENT = 50256
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return tokencounts.token_counts(docs, VOCABULARY, END_OF_DOCUMENT)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
@@ -174,6 +186,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
+        "op7_token_counts": op7_token_counts,
         "op8_source_mix": op8_source_mix,
         "op9_fingerprints": op9_fingerprints,
         "op10_chat_format": op10_chat_format,
