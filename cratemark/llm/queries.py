@@ -16,6 +16,7 @@ from cratemark.llm import (
     linededup,
     mixing,
     simhash,
+    substrings,
     tokencounts,
     toxicity,
 )
@@ -104,6 +105,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 # A public byte-level vocabulary; its next free id ends documents.
 VOCABULARY = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 END_OF_DOCUMENT = 50256
@@ -186,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_source_mix": op8_source_mix,
         "op9_fingerprints": op9_fingerprints,
