@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cratemark as cm
@@ -46,13 +46,9 @@ def _one_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def categorized_tracks_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tracks")
-    seen = Observation()
-    cm.write_table(_one_hit(spark, sf_dir).observe(seen, *cm.hot_id_metrics()), path)
-    return cm.attach_hot_features(
-        cm.tracks_table(spark, path),
-        cm.classify(adapter.part_features(spark, sf_dir)),
-        cm.hot_ids(seen.get, min_rows=1),
-    )
+    cm.write_table(_one_hit(spark, sf_dir), path)
+    features = cm.classify(adapter.part_features(spark, sf_dir))
+    return cm.attach_features(cm.tracks_table(spark, path), features)
 
 
 def categorize_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +90,18 @@ def category_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "playlists")
-    adapter.playlist_documents(spark, sf_dir).write.text(path)
+    adapter.playlist_documents(spark, sf_dir).select("value").write.text(path)
     return cm.playlists(spark, path, lines=True)
 
 
+def _landed_playlist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document a file, in a folder for each playlist; a supplier is one."""
+    path = new_folder(spark, "playlist-files")
+    pages = adapter.playlist_documents(spark, sf_dir, "l_suppkey")
+    pages.write.option("maxRecordsPerFile", 1).partitionBy("playlist_id").text(path)
+    return cm.playlists(spark, path, id_from="folder")
+
+
 def playlist_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.track_rows(cm.playlist_items(_landed_playlists(spark, sf_dir)))
 
@@ -109,6 +113,17 @@ def playlist_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.track_rows(cm.playlist_items(documents))
 
 
+def playlist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cm.track_rows(cm.playlist_items(_landed_playlist_files(spark, sf_dir)))
+
+
+def playlist_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of the last supplier; only its folder is read."""
+    last = adapter.table(spark, sf_dir, "lineitem").agg(F.max("l_suppkey")).first()[0]
+    documents = cm.in_playlist(_landed_playlist_files(spark, sf_dir), str(last))
+    return cm.track_rows(cm.playlist_items(documents))
+
+
 def track_frames_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Track frames of two origins, put together: documents and tables."""
     return cm.combine([playlist_flatten(spark, sf_dir), adapter.tracks(spark, sf_dir)])
@@ -140,6 +155,22 @@ def feature_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.feature_rows(cm.feature_documents(spark, path, file_filter="*.txt"))
 
 
+def feature_document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files named as they land, plain and gzipped mixed, beside
+    files of other names."""
+    path = new_folder(spark, "feature-names")
+    texts = adapter.feature_array_documents(spark, sf_dir)
+    size = F.length("value") % 2
+    for codec, own in (("none", size == 0), ("gzip", size == 1)):
+        part = f"{path}/{codec}"
+        texts.where(own).write.option("compression", codec).option("maxRecordsPerFile", 1).text(part)
+        adapter.renamed(spark, part, "audio_features_{}.json")
+    adapter.broken_feature_texts(spark, sf_dir).write.text(f"{path}/other")
+    return cm.feature_rows(
+        cm.feature_documents(spark, [f"{path}/{name}" for name in ("none", "gzip", "other")])
+    )
+
+
 def gzip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents from compressed files."""
     return cm.feature_rows(_landed_features(spark, sf_dir, "gzip"))
@@ -210,6 +241,38 @@ def refresh_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.result_table(spark, tables.result)
 
 
+def _refreshed_with_rejects(spark: SparkSession, sf_dir: str) -> cm.Tables:
+    """The whole job over documents of which some are broken."""
+    landed = new_folder(spark, "landed")
+    for name, good, broken in (
+        ("playlists", adapter.playlist_documents, adapter.broken_playlist_texts),
+        ("features", adapter.feature_document_texts, adapter.broken_feature_texts),
+    ):
+        texts = good(spark, sf_dir).select("value").unionByName(broken(spark, sf_dir))
+        texts.write.text(f"{landed}/{name}")
+    tables = cm.Tables.under(new_folder(spark, "refresh"))
+    cm.refresh(
+        spark,
+        cm.playlists(spark, f"{landed}/playlists", lines=True, malformed="skip"),
+        cm.feature_documents(spark, f"{landed}/features", lines=True),
+        tables,
+        malformed="skip",
+    )
+    return tables
+
+
+def refresh_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job makes of the documents that can be used."""
+    return cm.result_table(spark, _refreshed_with_rejects(spark, sf_dir).result)
+
+
+def refresh_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kind and text of those that cannot."""
+    return spark.read.parquet(_refreshed_with_rejects(spark, sf_dir).rejected).select(
+        "kind", F.sha2("value", 256).alias("text_sha256")
+    )
+
+
 # --- the contract -----------------------------------------------------------
 
 _QUERIES = (
@@ -220,10 +283,13 @@ _QUERIES = (
     category_domain,
     playlist_flatten,
     playlist_by_id,
+    playlist_files,
+    playlist_by_folder,
     track_frames_union,
     fetch_worklist,
     feature_documents,
     feature_document_files,
+    feature_document_names,
     gzip_documents,
     feature_frames_union,
     landing_inventory,
@@ -233,6 +299,8 @@ _QUERIES = (
     browse_all,
     browse_category,
     refresh_from_documents,
+    refresh_skipping,
+    refresh_rejected,
 )
 
 
@@ -255,6 +323,7 @@ def _d(number: str) -> str:
     return f"CAST({number} AS DOUBLE)"
 
 
+# Fixed values, as in ``cratemark.functions.rules``: labels, thresholds, order.
 _CATEGORY = f"""CASE
     WHEN energy > {_d('0.7')} AND tempo > {_d('120')} AND acousticness < {_d('0.3')} THEN 'Metal🤘'
     WHEN acousticness > {_d('0.7')} AND energy < {_d('0.5')} AND tempo < {_d('100')} THEN 'Classic🏛️'
@@ -345,10 +414,30 @@ _EDGES = f"""SELECT CAST(p_partkey AS VARCHAR) AS track_id,
     {_edge(122949823, 83, '99, 100, 101, 120, 121, 140, NULL', 'tempo')}
     FROM part"""
 
+# The labels in the same order.
 _POSITIONS = """(VALUES (1, 'Metal🤘'), (2, 'Classic🏛️'), (3, 'Podcast🎧'), (4, 'Vocal🎤'),
     (5, 'Electro⚡'), (6, 'HipHop🎤'), (7, 'Soul🎷'), (8, 'Rock🎸'), (9, 'Other🦦'))"""
 
 
+_PAGE = """('{"playlist_id":"' || s_suppkey || '","items":[]}')"""
+_BROKEN_PLAYLISTS = f"""SELECT 'playlist' AS kind, list_extract([
+      '{{"playlist_id":"' || s_suppkey || '","items":[', {_PAGE} || {_PAGE}, {_PAGE} || ' and more',
+      '{{"items":' || s_suppkey || '}}', '{{"error":{{"status":401,"key":' || s_suppkey || '}}}}'
+    ], s_suppkey % 5 + 1) AS value FROM supplier"""
+# The measures as JSON writes them: shortest digits, whole numbers with ".0".
+_MEASURES = " || ',' || ".join(
+    f"""'"{name}":' || CAST({name} AS VARCHAR)"""
+    for name in FEATURE_COLUMNS[1:]
+    if name != "duration_ms"
+)
+_OPENED = f"""('{{"id":"' || track_id || '",' || {_MEASURES})"""
+_BROKEN_FEATURES = f"""SELECT 'feature' AS kind, list_extract([
+      '<html>' || track_id || '</html>', {_OPENED} || ',"duration_ms":"long"}}',
+      {_OPENED} || ',"duration_ms":"Infinity"}}', {_OPENED} || ',"duration_ms":1e300}}',
+      {_OPENED} || ',"duration_ms":1000.7}}'
+    ], p_partkey % 5 + 1) AS value FROM ({_FEATURES}) AS f"""
+
+
 def oracle_sql() -> dict[str, str]:
     track_rows = f"SELECT {_TRACKS} FROM ({_tracks_sql()}) AS t"
     hit = "CASE WHEN l_suppkey % 3 = 0 THEN 1 ELSE l_partkey END"
@@ -367,6 +456,11 @@ def oracle_sql() -> dict[str, str]:
         "playlist_by_id": (
             f"{track_rows} WHERE l_orderkey = (SELECT max(l_orderkey) FROM lineitem)"
         ),
+        "playlist_files": track_rows,
+        "playlist_by_folder": (
+            f"SELECT {_TRACKS} FROM ({_tracks_sql()} WHERE l_suppkey"
+            " = (SELECT max(l_suppkey) FROM lineitem)) AS t"
+        ),
         "track_frames_union": f"{track_rows} UNION ALL {track_rows}",
         "fetch_worklist": (
             "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS track_id,"
@@ -375,6 +469,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feature_documents": _DOCUMENTS,
         "feature_document_files": _ARRAYS,
+        "feature_document_names": _ARRAYS,
         "gzip_documents": _DOCUMENTS,
         "feature_frames_union": (
             f"{_DOCUMENTS} UNION ALL SELECT {_FEATURE_NAMES} FROM ({_FEATURES}) AS f"
@@ -391,6 +486,13 @@ def oracle_sql() -> dict[str, str]:
         "refresh_from_documents": _joined(
             _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
         ),
+        "refresh_skipping": _joined(
+            _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
+        ),
+        "refresh_rejected": (
+            f"SELECT kind, sha256(value) AS text_sha256 FROM ({_BROKEN_PLAYLISTS}"
+            f" UNION ALL {_BROKEN_FEATURES}) AS r"
+        ),
     }
     if llm_queries is not None:
         equivalents |= llm_queries.oracle_sql()

@@ -28,7 +28,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = build_session()
     refresh(
         spark,
-        playlists(spark, options.playlists, lines=options.lines, id_from=options.id_from),
+        playlists(
+            spark,
+            options.playlists,
+            lines=options.lines,
+            id_from=options.id_from,
+            malformed=options.malformed,
+        ),
         feature_documents(spark, options.documents, lines=options.lines),
         Tables.under(options.output),
         playlist_id=options.playlist_id,

@@ -67,6 +67,18 @@ def has_wrong_types(text: Column, entries: Column) -> Column:
     return F.when(clean, False).otherwise(F.exists(lost, lambda one: one))
 
 
+def has_unfit_duration(entries: Column) -> Column:
+    """Whether a duration is a number that no long stands for: infinite, out of
+    range, or with a fraction. NaN is a missing value and fits."""
+
+    def unfit(entry: Column) -> Column:
+        number = entry["duration_ms"]
+        off = (number % 1 != 0) | (F.abs(number) >= float(1 << 63))
+        return F.coalesce(off & ~F.isnan(number), F.lit(False))
+
+    return F.coalesce(F.exists(entries, unfit), F.lit(False))
+
+
 def has_required_keys(text: Column, entries: Column) -> Column:
     """Whether the first entry carries every required key, nulls included.
 

@@ -1,7 +1,6 @@
-"""Operators: functions from DataFrames to DataFrames. None of them runs a job,
-except ``attach_hot_features``, which measures rows before it broadcasts them."""
+"""Operators: functions from DataFrames to DataFrames. None of them runs a job."""
 
-from .attach import attach_features, attach_hot_features, hot_ids, hot_id_metrics
+from .attach import attach_features
 from .browse import browse, in_category, in_playlist
 from .classify import category_domain, classify
 from .combine import combine
@@ -11,15 +10,12 @@ from .worklist import fetch_worklist
 
 __all__ = [
     "attach_features",
-    "attach_hot_features",
     "browse",
     "category_domain",
     "classify",
     "combine",
     "feature_rows",
     "fetch_worklist",
-    "hot_id_metrics",
-    "hot_ids",
     "in_category",
     "in_playlist",
     "playlist_items",

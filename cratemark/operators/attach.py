@@ -1,80 +1,21 @@
 """Joining tracks with their features.
 
-The plain join leaves the strategy to Spark: a broadcast if one side turns out
-small, else sort-merge with adaptive splitting of skewed partitions. Playlists
-are skewed by nature, as everybody lists the same hit, so there is a second
-form for known hot ids. It keeps their rows out of the shuffle.
+The strategy is Spark's: a broadcast if one side turns out small, else a shuffled
+join. Playlists are skewed by nature, as everybody lists the same hit; adaptive
+execution splits the partitions of such ids at run time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.01
-HOT_MIN_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 32 << 20
-
 
 def _with_text_key(frame: DataFrame) -> DataFrame:
     return frame.withColumn("track_id", F.col("track_id").cast("string"))
 
 
-def _row_bytes(frame: DataFrame) -> Column:
-    """At least what a row takes in memory: its values as text, plus a slot for
-    each column."""
-    return F.octet_length(F.to_json(F.struct("*"))) + F.lit(16 * len(frame.columns))
-
-
 def attach_features(tracks: DataFrame, features: DataFrame) -> DataFrame:
     """Inner join on ``track_id``: the key, the track columns, the feature
     columns. Duplicates on either side multiply; null ids never match."""
     return _with_text_key(tracks).join(_with_text_key(features), "track_id", "inner")
-
-
-def hot_id_metrics() -> list[Column]:
-    """Metrics for ``DataFrame.observe`` that find hot ids while the rows pass
-    by, without a job of their own. The sketch has a fixed size."""
-    most = round(1 / HOT_SHARE) + 1
-    return [
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(track_id, {most}, {most * 100})").alias("top"),
-    ]
-
-
-def hot_ids(metrics: dict, min_rows: int = HOT_MIN_ROWS) -> list[str]:
-    """The ids that hold at least ``HOT_SHARE`` of the observed rows. There can
-    be no more than ``1 / HOT_SHARE`` of them."""
-    least = max(min_rows, HOT_SHARE * metrics["rows"])
-    return [
-        top["item"]
-        for top in metrics["top"] or []
-        if top["item"] is not None and top["count"] >= least
-    ]
-
-
-def attach_hot_features(
-    tracks: DataFrame,
-    features: DataFrame,
-    hot: Sequence[str],
-    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Same rows as ``attach_features``, with the hot ids joined in place.
-
-    The features of hot ids are measured first. If they are small, they are
-    broadcast to the hot tracks, which then need no shuffle, and only the other
-    tracks are shuffled. If they are not, or nothing is hot, this is the plain
-    join. Which ids are called hot affects the speed only.
-    """
-    tracks, features = _with_text_key(tracks), _with_text_key(features)
-    if not hot:
-        return attach_features(tracks, features)
-    is_hot = F.col("track_id").isin(list(hot))
-    hot_features = features.where(is_hot)
-    size = hot_features.agg(F.sum(_row_bytes(hot_features))).first()[0] or 0
-    if size > broadcast_max_bytes:
-        return attach_features(tracks, features)
-    in_place = tracks.where(is_hot).join(F.broadcast(hot_features), "track_id", "inner")
-    return in_place.unionByName(attach_features(tracks.where(~is_hot), features.where(~is_hot)))

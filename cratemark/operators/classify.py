@@ -19,7 +19,14 @@ def classify(
 def category_domain(
     spark: SparkSession, rules: Sequence[Rule] = RULES, default: str = DEFAULT_LABEL
 ) -> DataFrame:
-    """The labels in order: ``position`` from 1, ``category``."""
-    return spark.createDataFrame(
-        list(enumerate(labels(rules, default), start=1)), "position int, category string"
+    """The labels in order: ``position`` from 1, ``category``.
+
+    A relation of literals, so that Spark knows how small it is and, in a join,
+    moves it and never the data.
+    """
+    found = labels(rules, default)
+    rows = ", ".join(f"({i}, :label{i})" for i in range(1, len(found) + 1))
+    return spark.sql(
+        f"SELECT position, category FROM VALUES {rows} AS domain(position, category)",
+        args={f"label{i}": label for i, label in enumerate(found, start=1)},
     )

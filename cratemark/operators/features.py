@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.documents import (
     has_required_keys,
+    has_unfit_duration,
     has_wrong_types,
     not_a_document,
     parse_entries,
@@ -24,7 +25,9 @@ def _parsed(documents: DataFrame, mode: str) -> DataFrame:
 
 def _rejected() -> Column:
     text, entries = F.col("value"), F.col("entries")
-    return not_a_document(entries) | has_wrong_types(text, entries)
+    return (
+        not_a_document(entries) | has_wrong_types(text, entries) | has_unfit_duration(entries)
+    )
 
 
 def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
@@ -35,7 +38,7 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     an empty array and a null among the entries give nothing.
 
     A text that is not such JSON, or has something other than a number for a
-    measure, fails the job. With ``malformed="skip"`` it gives no rows, and
+    measure, or other than a whole number of 64 bits for the duration, fails the job. With ``malformed="skip"`` it gives no rows, and
     ``rejected_documents`` shows it.
     """
     if malformed not in ("fail", "skip"):
@@ -44,14 +47,15 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     accepted = F.when(has_required_keys(text, entries), entries)
     if malformed == "fail":
         failure = F.raise_error("not a feature document; rejected_documents() finds it")
-        accepted = F.when(not_a_document(entries), failure).otherwise(accepted)
+        unfit = not_a_document(entries) | has_unfit_duration(entries)
+        accepted = F.when(unfit, failure).otherwise(accepted)
     else:
         accepted = F.when(~_rejected(), accepted)
 
     def measure(key: str) -> Column:
         # NaN would be above every threshold; it stands for a missing value.
         number = F.nanvl(F.col(f"entry.{key}"), F.lit(None))
-        return (number.cast("bigint") if key == "duration_ms" else number).alias(key)
+        return (number.try_cast("bigint") if key == "duration_ms" else number).alias(key)
 
     return (
         _parsed(documents, "FAILFAST" if malformed == "fail" else "PERMISSIVE")

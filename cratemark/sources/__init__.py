@@ -2,7 +2,7 @@
 
 from .feature_documents import feature_documents
 from .landing import landing_files
-from .playlists import playlists
+from .playlists import playlists, rejected_playlists
 from .tables import features_table, result_table, tracks_table
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "features_table",
     "landing_files",
     "playlists",
+    "rejected_playlists",
     "result_table",
     "tracks_table",
 ]

@@ -53,7 +53,9 @@ def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = None) -> DataFrame:
+def lineitem_tracks(
+    spark: SparkSession, sf_dir: str, id_of: Column | None = None, playlist: str = "l_orderkey"
+) -> DataFrame:
     """The tracks table plus ``playlist_id``, the second artist, and the page the
     item would be delivered on: one row per line item.
 
@@ -77,7 +79,7 @@ def lineitem_tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = Non
             F.col("l_shipdate").cast("date").cast("string").alias("release_date"),
             F.col("s_name").alias("artist_name"),
             F.col("p_brand").alias("second_artist"),
-            F.col("l_orderkey").cast("string").alias("playlist_id"),
+            F.col(playlist).cast("string").alias("playlist_id"),
             "page",
         )
     )
@@ -87,9 +89,11 @@ def tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = None) -> Dat
     return lineitem_tracks(spark, sf_dir, id_of).select(*TRACK_COLUMNS)
 
 
-def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column ``value``: playlist documents as JSON text, one per playlist and
-    page."""
+def playlist_documents(
+    spark: SparkSession, sf_dir: str, playlist: str = "l_orderkey"
+) -> DataFrame:
+    """Columns ``value`` and ``playlist_id``: playlist documents as JSON text, one
+    per playlist and page. ``playlist`` names the column that makes a playlist."""
     artists = F.array(
         F.struct(F.col("artist_name").alias("name")),
         F.struct(F.col("second_artist").alias("name")),
@@ -97,12 +101,12 @@ def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     album = F.struct("album_type", "release_date", artists.alias("artists"))
     track = F.struct(F.col("track_id").alias("id"), "name", album.alias("album"))
     return (
-        lineitem_tracks(spark, sf_dir)
+        lineitem_tracks(spark, sf_dir, playlist=playlist)
         # Collecting shrinks nothing, so it is done after the shuffle only.
         .repartition("playlist_id", "page")
         .groupBy("playlist_id", "page")
         .agg(F.collect_list(F.struct(track.alias("track"))).alias("items"))
-        .select(F.to_json(F.struct("playlist_id", "items")).alias("value"))
+        .select(F.to_json(F.struct("playlist_id", "items")).alias("value"), "playlist_id")
     )
 
 
@@ -130,6 +134,57 @@ def feature_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_playlist_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column ``value``: one text per supplier that is no playlist document: cut
+    off, two documents, a document and more, other types, or without items."""
+    key = F.col("s_suppkey").cast("string")
+    page = F.concat(F.lit('{"playlist_id":"'), key, F.lit('","items":[]}'))
+    broken = F.array(
+        F.concat(F.lit('{"playlist_id":"'), key, F.lit('","items":[')),
+        F.concat(page, page),
+        F.concat(page, F.lit(" and more")),
+        F.concat(F.lit('{"items":'), key, F.lit("}")),
+        F.concat(F.lit('{"error":{"status":401,"key":'), key, F.lit("}}")),
+    )
+    suppliers = table(spark, sf_dir, "supplier")
+    return suppliers.select(F.get(broken, (F.col("s_suppkey") % 5).cast("int")).alias("value"))
+
+
+def broken_feature_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column ``value``: one text per part that is no feature document: no JSON, a
+    measure in words, or a duration that is infinite, out of range or broken."""
+    rows = part_features(spark, sf_dir)
+    k = F.col("track_id").cast("bigint")
+    rest = [name for name in REQUIRED_KEYS if name != "duration_ms"]
+    whole = F.to_json(F.struct(F.col("track_id").alias("id"), *rest))
+    opened = F.substring(whole, F.lit(1), F.length(whole) - 1)
+
+    def lasting(duration: str) -> Column:
+        return F.concat(opened, F.lit(f',"duration_ms":{duration}}}'))
+
+    broken = F.array(
+        F.concat(F.lit("<html>"), F.col("track_id"), F.lit("</html>")),
+        lasting('"long"'),
+        lasting('"Infinity"'),
+        lasting("1e300"),
+        lasting("1000.7"),
+    )
+    return rows.select(F.get(broken, (k % 5).cast("int")).alias("value"))
+
+
+def renamed(spark: SparkSession, path: str, pattern: str) -> None:
+    """Give the files of a small folder the names that landed files have:
+    ``pattern`` with a number for ``{}``, and the ending of a gzipped file."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for number, status in enumerate(files.listStatus(folder)):
+        found = status.getPath()
+        if found.getName().startswith("part-"):
+            zipped = ".gz" if found.getName().endswith(".gz") else ""
+            name = pattern.format(number) + zipped
+            files.rename(found, spark._jvm.org.apache.hadoop.fs.Path(folder, name))
+
+
 def feature_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column ``value``: array documents of up to ``ENTRIES`` parts with adjacent
     keys, in key order; keys are unique, so no array is longer. Parts whose key leaves 2 when divided by 3 lack their

@@ -1,18 +1,18 @@
 import pytest
-from pyspark.sql import SparkSession
+
+from cratemark.session import build_session
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .getOrCreate()
+    """The session that ships; only cores, memory and scratch are those of a test."""
+    session = build_session(
+        "tests",
+        spark__master="local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false",
+        spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,9 +1,8 @@
-"""The join, plain and with hot ids."""
+"""The join, also with a hot id."""
 
 from collections import Counter
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import cratemark as cm
@@ -35,10 +34,6 @@ def features(spark):
     return cm.classify(spark.createDataFrame(FEATURE_ROWS, FEATURES))
 
 
-def bag(frame):
-    return Counter(tuple(r) for r in frame.collect())
-
-
 def test_inner_join_with_duplicates_and_nulls(tracks, features):
     joined = cm.attach_features(tracks, features)
     assert joined.columns == list(RESULT_COLUMNS)
@@ -53,53 +48,6 @@ def test_keys_of_other_types_are_cast(spark):
     assert [tuple(r) for r in joined.collect()] == [("1", "n", 0.5)]
 
 
-@pytest.mark.parametrize("hot", [[], ["a"], ["a", "b"], ["nowhere"], ["only here", "stale"]])
-@pytest.mark.parametrize("most", [10_000, 0])
-def test_hot_ids_change_nothing(tracks, features, hot, most):
-    plain = cm.attach_features(tracks, features)
-    split = cm.attach_hot_features(tracks, features, hot, broadcast_max_bytes=most)
-    assert split.columns == plain.columns
-    assert bag(split) == bag(plain)
-
-
-def physical(frame):
-    return frame._jdf.queryExecution().executedPlan().toString()
-
-
-def test_hot_tracks_are_not_shuffled(spark, tracks, features):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = physical(cm.attach_hot_features(tracks, features, ["a"]))
-        assert split.count("BroadcastHashJoin") == 1 and split.count("SortMergeJoin") == 1
-        assert split.count("Exchange hashpartitioning") == 2
-        many = physical(cm.attach_hot_features(tracks, features, ["a"], broadcast_max_bytes=0))
-        assert "BroadcastHashJoin" not in many and many.count("SortMergeJoin") == 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-
-
-def observed(frame):
-    seen = Observation()
-    frame.observe(seen, *cm.hot_id_metrics()).write.format("noop").mode("overwrite").save()
-    return seen.get
-
-
-def test_hot_ids_are_observed(spark):
-    hits = F.when(F.col("id") % 3 == 0, "hit").when(F.col("id") % 3 == 1, F.lit(None))
-    frame = spark.range(0, 90_000, 1, 8).select(
-        hits.otherwise(F.col("id").cast("string")).alias("track_id")
-    )
-    metrics = observed(frame)
-    assert metrics["rows"] == 90_000
-    assert cm.hot_ids(metrics, min_rows=1) == ["hit"]
-    assert cm.hot_ids(metrics) == []
-
-
-def test_nothing_observed(spark, tracks):
-    assert cm.hot_ids(observed(tracks.where("false")), min_rows=1) == []
-
-
 HASH_BELOW = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 SKEW_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",

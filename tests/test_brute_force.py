@@ -92,7 +92,6 @@ def test_refresh(spark, tmp_path, seed, lines):
         cm.playlists(spark, str(tmp_path / "playlists"), lines=lines),
         cm.feature_documents(spark, str(tmp_path / "documents"), lines=lines),
         tables,
-        hot_min_rows=1 if seed else 10**9,
     )
     result = cm.result_table(spark, tables.result)
     assert result.columns == list(RESULT_COLUMNS)

@@ -170,3 +170,16 @@ def test_lines(spark, tmp_path):
     (tmp_path / "batch2.jsonl.gz").write_bytes(gzip.compress(json.dumps(full("d")).encode()))
     frame = cm.feature_documents(spark, str(tmp_path), lines=True)
     assert ids(cm.feature_rows(frame)) == ["a", "b", "c", "d"]
+
+
+@pytest.mark.parametrize("duration", ['"Infinity"', "1e300", "-1e300", "1000.7", "9223372036854775808"])
+def test_durations_that_are_no_long_are_malformed(spark, tmp_path, duration):
+    rest = {k: v for k, v in FULL.items() if k != "duration_ms"}
+    text = json.dumps({"id": "a", **rest})[:-1] + f', "duration_ms": {duration}}}'
+    (tmp_path / "audio_features_a.json").write_text(text)
+    (tmp_path / "audio_features_b.json").write_text(json.dumps({"id": "b", **FULL}))
+    documents = cm.feature_documents(spark, str(tmp_path))
+    with pytest.raises(Exception, match="not a feature document"):
+        cm.feature_rows(documents).collect()
+    assert [r.track_id for r in cm.feature_rows(documents, malformed="skip").collect()] == ["b"]
+    assert [r.value for r in cm.rejected_documents(documents).collect()] == [text]

@@ -1,14 +1,19 @@
 """What Spark makes of the queries: the plans must stay the ones we want."""
 
 import json
+import sys
+import tempfile
 
 import pytest
 
 import cratemark as cm
+import cratemark.plans.refresh  # noqa: F401
+from cratemark import session as session_module
 from cratemark.session import build_session, new_folder, shared_folder, shuffle_partitions
 from testbed import adapter
 
 SF_DIR = "/root/testdata/sf0.001"
+refresh_module = sys.modules["cratemark.plans.refresh"]
 
 
 def physical(frame):
@@ -78,7 +83,7 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_folder(Settings({"spark.master": "yarn"}))
     named = Settings({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
     assert new_folder(named, "x").startswith("hdfs:///shared/x-")
-    assert shared_folder(Settings({"spark.master": "local[8]"})).startswith("/tmp/")
+    assert shared_folder(Settings({"spark.master": "local[8]"})).startswith(tempfile.gettempdir())
 
 
 def test_session_helpers(spark):
@@ -86,5 +91,57 @@ def test_session_helpers(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert shuffle_partitions(0, 16) == 16
-    assert shuffle_partitions(1 << 40, 16) == 4096
-    assert shuffle_partitions(100 << 40, 16) == 50_000
+    assert shuffle_partitions(1 << 40, 16) == 4 * 4096
+    assert shuffle_partitions(100 << 40, 16) == 4 * 409_600
+
+
+def test_partitions_of_the_join_follow_the_stored_bytes(spark, tmp_path, monkeypatch):
+    """More bytes, more partitions; a number that the user has set stays."""
+    numbers = {}
+
+    def run(name, **options):
+        texts = adapter.feature_document_texts(spark, SF_DIR)
+        pages = tmp_path / f"{name}-pages"
+        adapter.playlist_documents(spark, SF_DIR).select("value").write.text(str(pages))
+        tables = cm.Tables.under(str(tmp_path / name))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        inside = {}
+        write = refresh_module.write_table
+
+        def watched(frame, path, **own):
+            if path == tables.result:
+                inside["join"] = frame.rdd.getNumPartitions()
+            write(frame, path, **own)
+
+        monkeypatch.setattr(refresh_module, "write_table", watched)
+        try:
+            cm.refresh(spark, cm.playlists(spark, str(pages), lines=True), texts, tables, **options)
+        finally:
+            monkeypatch.undo()
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        numbers[name] = inside["join"]
+        return session_module.stored_bytes(spark, tables.tracks, tables.features)
+
+    run("set by the user", partition_bytes=1 << 10)
+    assert numbers["set by the user"] == 8
+    for name, size in (("large parts", 8 << 10), ("small parts", 2 << 10)):
+        monkeypatch.setattr(session_module, "partitions_are_set", lambda _: False)
+        stored = run(name, partition_bytes=size)
+        assert numbers[name] == shuffle_partitions(stored, 8, size)
+    assert numbers["small parts"] > numbers["large parts"] > 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_the_domain_moves_and_the_data_does_not(spark, tmp_path):
+    path = str(tmp_path / "features")
+    cm.write_table(adapter.part_features(spark, SF_DIR), path)
+    rows = cm.classify(cm.features_table(spark, path))
+    joined = rows.join(cm.category_domain(spark), "category")
+    plan = physical(joined)
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastExchange") == 1
+    broadcast = plan[plan.index("BroadcastExchange") :]
+    assert "LocalTableScan" in broadcast and "FileScan" not in broadcast
+    assert joined.count() == rows.count()

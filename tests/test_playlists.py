@@ -79,12 +79,12 @@ def test_many_files_plain_and_compressed(spark, tmp_path):
 
 
 def test_select_one_playlist_by_file_name(spark, tmp_path):
-    write(tmp_path / "playlist_37i9.x-y.json", {"items": [item("a")]})
+    write(tmp_path / "playlist_mix7.x-y.json", {"items": [item("a")]})
     write(tmp_path / "playlist_zz.json.gz", {"items": [item("b")]})
     write(tmp_path / "other.json", {"items": [item("c")]})
     documents = cm.playlists(spark, str(tmp_path), id_from="file_name")
-    assert sorted(r.playlist_id or "" for r in documents.collect()) == ["", "37i9.x-y", "zz"]
-    assert [r.track_id for r in flat(cm.in_playlist(documents, "37i9.x-y")).collect()] == ["a"]
+    assert sorted(r.playlist_id or "" for r in documents.collect()) == ["", "mix7.x-y", "zz"]
+    assert [r.track_id for r in flat(cm.in_playlist(documents, "mix7.x-y")).collect()] == ["a"]
     assert [r.track_id for r in flat(cm.in_playlist(documents, "zz")).collect()] == ["b"]
     assert flat(cm.in_playlist(documents, "absent")).count() == 0
 
@@ -125,16 +125,50 @@ def test_lines_with_ids_in_file_names(spark, tmp_path):
     assert flat(cm.in_playlist(documents, "q")).count() == 2
 
 
-@pytest.mark.parametrize("text", ['{"items": [', "<html/>", '{"items": 5}', " ", "5", '{"items": []} x'])
-def test_malformed_fails(spark, tmp_path, text):
+BROKEN = [
+    '{"items": [',
+    "<html/>",
+    '{"items": 5}',
+    "5",
+    '{"items": []} x',
+    '{"items": []}{"items": []}',
+    '{"items": []}, {"items": []}',
+]
+
+
+@pytest.mark.parametrize("lines", [False, True])
+@pytest.mark.parametrize("text", BROKEN)
+def test_malformed_fails(spark, tmp_path, text, lines):
     (tmp_path / "p.json").write_text(text)
-    with pytest.raises(Exception, match="MALFORMED_RECORD|one document"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|one playlist document"):
+        cm.playlists(spark, str(tmp_path), lines=lines).collect()
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_malformed_is_skipped_and_shown(spark, tmp_path, lines):
+    texts = [*BROKEN, '{"error": 1}', '{"items": null}']
+    for n, text in enumerate(texts):
+        (tmp_path / f"playlist_{n}.json").write_text(text)
+    (tmp_path / "playlist_good.json").write_text(json.dumps({"items": [item("a"), item("b")]}))
+    documents = cm.playlists(
+        spark, str(tmp_path), lines=lines, id_from="file_name", malformed="skip"
+    )
+    found = cm.track_rows(cm.playlist_items(documents, malformed="skip"))
+    assert sorted(r.track_id for r in found.collect()) == ["a", "b"]
+    rejected = {r.playlist_id: r.value for r in cm.rejected_playlists(documents).collect()}
+    assert rejected == {str(n): text for n, text in enumerate(texts)}
+
+
+def test_a_blank_file_is_no_document(spark, tmp_path):
+    (tmp_path / "p.json").write_text(" ")
+    with pytest.raises(Exception, match="one playlist document"):
         cm.playlists(spark, str(tmp_path)).collect()
+    assert cm.playlists(spark, str(tmp_path), lines=True).collect() == []
 
 
 def test_lines_read_as_one_document_fail(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"items": []}\n{"items": []}\n')
-    with pytest.raises(Exception, match="MALFORMED_RECORD|one document"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|one playlist document"):
         cm.playlists(spark, str(tmp_path)).collect()
 
 

@@ -3,9 +3,11 @@
 import gzip
 import json
 import os
+import sys
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import cratemark as cm
 from cratemark.__main__ import main
@@ -65,7 +67,12 @@ def run(spark, landed, **options):
     tables = cm.Tables.under(str(landed / "out") + "/")
     cm.refresh(
         spark,
-        cm.playlists(spark, str(landed / "playlists"), id_from="file_name"),
+        cm.playlists(
+            spark,
+            str(landed / "playlists"),
+            id_from="file_name",
+            malformed=options.get("malformed", "fail"),
+        ),
         cm.feature_documents(spark, str(landed / "features")),
         tables,
         **options,
@@ -84,8 +91,8 @@ LOUD, TALK = ("Loud", "One", "Metal🤘"), ("Talk", "Two", "Podcast🎧")
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"partition_by": "category", "compact": True}, {"compact": True}, {"hot_min_rows": 1}],
-    ids=["plain", "partitioned", "compact", "hot"],
+    [{}, {"partition_by": "category", "compact": True}, {"compact": True}],
+    ids=["plain", "partitioned", "compact"],
 )
 def test_job_and_rerun(spark, landed, options):
     for _ in range(2):
@@ -128,7 +135,34 @@ def test_malformed_documents(spark, landed):
     (landed / "features" / "audio_features_x.json").write_text("<html>")
     with pytest.raises(Exception, match="MALFORMED_RECORD|not a feature document"):
         run(spark, landed)
-    assert browsed(spark, run(spark, landed, malformed="skip")) == {LOUD: 2, TALK: 2}
+    (landed / "playlists" / "playlist_x.json").write_text("{} {}")
+    (landed / "playlists" / "playlist_y.json").write_text('{"error": 1}')
+    tables = run(spark, landed, malformed="skip")
+    assert browsed(spark, tables) == {LOUD: 2, TALK: 2}
+    rejected = Counter(tuple(r) for r in spark.read.parquet(tables.rejected).collect())
+    assert rejected == {
+        ("feature", "<html>"): 1, ("playlist", "{} {}"): 1, ("playlist", '{"error": 1}'): 1,
+    }
+    tables = run(spark, landed, malformed="skip", playlist_id="q")
+    assert browsed(spark, tables) == {TALK: 1}
+    kept = spark.read.parquet(tables.rejected).where("kind = 'playlist'").count()
+    assert kept == 0  # their file names say that they are other playlists
+
+
+def test_a_failed_run_leaves_the_previous_result(spark, landed, monkeypatch):
+    tables = run(spark, landed)
+    before = browsed(spark, tables)
+
+    def failing(tracks, features):
+        return cm.attach_features(tracks, features).withColumn(
+            "category", F.raise_error(F.lit("the join fails")).cast("string")
+        )
+
+    monkeypatch.setattr(sys.modules["cratemark.plans.refresh"], "attach_features", failing)
+    with pytest.raises(Exception, match="the join fails"):
+        run(spark, landed)
+    assert browsed(spark, tables) == before
+    assert sorted(os.listdir(landed / "out")) == ["audio_features", "categorized_tracks", "tracks"]
 
 
 @pytest.mark.parametrize("partition_by", [None, "category"])
