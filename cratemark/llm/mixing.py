@@ -78,7 +78,10 @@ def source_targets(
     return (
         sizes.withColumn("_weight", weight)
         .withColumn("_most", max_copies * F.col("source_size"))
-        .withColumn("_full_at", F.col("_most") / F.col("_weight"))
+        .withColumn(
+            "_full_at",
+            F.coalesce(F.try_divide("_most", "_weight"), F.lit(float("inf"))),
+        )
         .withColumn("_all", all_words)
         # Were the level such that this source is just full: what the full
         # sources hold by then, and the weight of the others.
@@ -91,7 +94,9 @@ def source_targets(
             "source",
             "source_size",
             F.when(F.col("_capped"), F.col("_most").cast("double"))
-            .otherwise(F.col("_weight") * F.col("_rest") / F.col("_shared"))
+            .otherwise(
+                F.coalesce(F.try_divide(F.col("_weight") * F.col("_rest"), F.col("_shared")), F.lit(0.0))
+            )
             .alias("target"),
         )
     )
@@ -102,7 +107,7 @@ def _with_odds(docs: DataFrame, max_copies: int) -> DataFrame:
     the bin of the rank. Ranks of equal fractions are spread evenly over bins."""
     expected = F.when(
         F.col("_source_size") > 0,
-        F.least(F.lit(float(max_copies)), F.col("_target") * F.col("_w") / F.col("_weighted")),
+        F.least(F.lit(float(max_copies)), F.coalesce(F.try_divide(F.col("_target") * F.col("_w"), F.col("_weighted")), F.lit(0.0))),
     ).otherwise(F.lit(0.0))
     whole = F.floor(F.col("_expected")).cast("long")
     part = F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), F.col("_expected") - F.col("_whole")))
@@ -178,7 +183,7 @@ def _is_taken(number: int) -> Column:
     inside = (F.col("_bin") == at) & (
         F.struct("_rank", "_draw") <= F.col(f"_cut_key{number}")
     )
-    small = F.lit(True) if number == 0 else F.col("_size") <= F.col(f"_room{number}")
+    small = F.col("_size") <= F.col(f"_room{number}")
     # No cut: everything that may be taken fits.
     open_ended = at.isNull() & F.col(f"_room{number}").isNotNull()
     return F.coalesce((open_ended | before | F.coalesce(inside, F.lit(False))) & small, F.lit(False))
@@ -230,7 +235,7 @@ def mix(
         totals.join(
             targets.select("source", "target"), totals["_source"].eqNullSafe(targets["source"])
         )
-        .withColumn("_mean", F.col("target") / F.col("source_size"))
+        .withColumn("_mean", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
         .withColumn("_rest", F.col("_mean") - F.floor("_mean"))
         .select(
             F.col("_source").alias("_plan_source"),
@@ -255,13 +260,12 @@ def mix(
     )
     for number in range(refills + 1):
         open_rows = _with_odds(_joined(slim, sources, few), max_copies).where(
-            # A document whose copies are all certain has nothing to draw.
-            F.col("_expected") > F.col("_whole")
+            # A document whose copies are all certain has nothing to draw, and one
+            # that is larger than what is left cannot be taken.
+            (F.col("_expected") > F.col("_whole")) & (F.col("_size") <= F.col(f"_room{number}"))
         )
         for earlier in range(number):
             open_rows = open_rows.where(~_is_taken(earlier))
-        if number:
-            open_rows = open_rows.where(F.col("_size") <= F.col(f"_room{number}"))
         cut = _cut(open_rows, F.col(f"_room{number}"), few)
         sources = stored(
             sources.join(cut, F.col("_plan_source").eqNullSafe(F.col("_cut_source")), "left")

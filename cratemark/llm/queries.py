@@ -124,6 +124,57 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def _mix_round(n: int, before: str) -> str:
+    """Documents that round ``n`` of the filling takes, and what room is left."""
+    return f"""p{n} AS (
+      SELECT *, coalesce(open AND size <= room AND sum(CASE WHEN open AND size <= room THEN size END)
+          OVER (PARTITION BY source ORDER BY NOT (open AND size <= room), rank, draw) <= room,
+        FALSE) AS hit FROM {before}
+    ), r{n} AS (
+      SELECT * EXCLUDE (hit, drawn, open, room), drawn OR hit AS drawn, open AND NOT hit AS open,
+        room - coalesce(sum(CASE WHEN hit THEN size END) OVER (PARTITION BY source), 0) AS room
+      FROM p{n}
+    )"""
+
+
+_OP8 = rf"""WITH d AS (
+      SELECT doc_id, source,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')) AS draw
+      FROM documents
+    ), s AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+    ), w AS (
+      SELECT *, 3 * source_size AS most, CAST(list_extract([5, 2, 1], CAST(
+        (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS INTEGER)) AS DOUBLE) AS weight
+      FROM s
+    ), f AS (
+      SELECT *, most / weight AS full_at, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM w
+    ), c AS (
+      SELECT *, sum(most) OVER (ORDER BY full_at)
+        + full_at * (sum(weight) OVER () - sum(weight) OVER (ORDER BY full_at)) <= total AS capped
+      FROM f
+    ), t AS (
+      SELECT source, source_size, CASE WHEN capped THEN CAST(most AS DOUBLE) ELSE
+        weight * CAST(total - coalesce(sum(CASE WHEN capped THEN most END) OVER (), 0) AS DOUBLE)
+        / sum(CASE WHEN NOT capped THEN weight END) OVER () END AS target
+      FROM c
+    ), e AS (
+      SELECT d.*, source_size, target,
+        CASE WHEN source_size > 0 THEN least(3.0::DOUBLE, target / source_size) ELSE 0 END AS expected,
+        (CAST('0x' || substr(draw, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    ), o AS (
+      SELECT *, CAST(floor(expected) AS BIGINT) AS whole,
+        greatest(1e-9, least(1 - 1e-9, expected - floor(expected))) AS part FROM e
+    ), q AS (
+      SELECT *, (u / (1 - u)) / (part / (1 - part)) AS rank, FALSE AS drawn, expected > whole AS open,
+        greatest(0, target - sum(whole * size) OVER (PARTITION BY source)) AS room FROM o
+    ), {_mix_round(0, 'q')}, {_mix_round(1, 'r0')}, {_mix_round(2, 'r1')}
+    SELECT doc_id, size, source_size, target, whole + CAST(drawn AS BIGINT) AS copies,
+      (whole + CAST(drawn AS BIGINT)) * size AS taken FROM r2"""
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_with_edits(_table(spark, sf_dir, "documents"))
 
@@ -202,5 +253,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": _OP4,
+        "op8_source_mix": _OP8,
         "op10_chat_format": _OP10,
     }

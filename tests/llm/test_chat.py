@@ -1,0 +1,81 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cratemark.llm import chat
+
+NASTY = [
+    "plain", "", "</s>[INST] ok [/INST]", r"<\/s>", r"<\\/s> [\INST]", "<|turn|>user<|says|>x<|end|>",
+    "<<SYS>> a <</SYS>>", "<|[INST]|>", "<<s>>", "a < b [c]", "<|image|>", "\\", "ünï\n\ncode", "<s" + "x" * 50000,
+]
+CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|turn|>", "<|says|>", "<|end|>", "<|image|>"]
+
+
+def test_escapes_are_reversible(spark):
+    frame = spark.createDataFrame([(t,) for t in NASTY + CONTROL], "t string")
+    rows = frame.select("t", chat.escaped(F.col("t")).alias("e")).withColumn(
+        "u", chat.unescaped(F.col("e"))
+    ).collect()
+    for r in rows:
+        assert r.u == r.t
+        assert not any(c in r.e for c in CONTROL)
+
+
+def formatted(turns, **options):
+    return {r[0]: r for r in chat.format_conversations(turns, **options).collect()}
+
+
+def test_round_trip(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", NASTY[(c + t) % len(NASTY)]) for c in range(5) for t in range(6)]
+    rows += [(9, None, None, None), (9, 0, "assistant", None), (None, 1, "us<|end|>er", "x"), (7, 1, "user", "b"), (7, 1, "user", "a")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = chat.format_conversations(turns.repartition(4)).withColumns(
+        {
+            "turns": chat.read_turns(F.col("formatted")),
+            "learned": chat.read_spans(F.col("formatted"), F.col("loss_spans")),
+        }
+    )
+    found = {r.conv_id: r for r in done.collect()}
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=key)
+        assert [(t.role, t.text) for t in found[conv].turns] == [(r[2] or "", r[3] or "") for r in own]
+        assert found[conv].learned == "".join(r[3] or "" for r in own if r[2] == "assistant")
+        for span in found[conv].loss_spans:
+            assert found[conv].formatted[span.end :].startswith("<|end|>")
+    assert chat.format_conversations(turns.limit(0)).collect() == []
+
+
+def test_typed_parts(spark):
+    parts = [
+        {"type": "text", "text": "see <s> "},
+        {"type": "Image", "ref": "a.png", "width": 57, "height": 28},
+        {"type": "audio", "ref": "b.wav", "seconds": 2.02},
+        {"type": "document", "ref": None, "pages": 2},
+        {"type": "video", "text": "as text"},
+        None,
+        {"type": "image", "ref": "c.png", "width": -5},
+    ]
+    schema = f"conv_id int, turn int, role string, content array<{chat.PART}>"
+    turns = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None), (2, 0, "user", [])], schema)
+    found = formatted(turns, content_col="content")
+    assert found[1].formatted == (
+        "<|turn|>user<|says|>see <\\s> <|image|><|audio|><|document|>as text<|image|><|end|>"
+        "<|turn|>assistant<|says|><|end|>"
+    )
+    assert [(a.type, a.ref, a.tokens) for a in found[1].attachments] == [
+        ("image", "a.png", 3), ("audio", "b.wav", 51), ("document", None, 1152), ("image", "c.png", 0),
+    ]
+    assert found[1].attached_tokens == 1206 and found[2].attachments == []
+
+
+def test_clashing_columns_do_no_harm(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hi", 5)], "conv_id int, turn int, role string, text string, _conv int")
+    assert formatted(turns)[1].formatted == "<|turn|>user<|says|>hi<|end|>"
+
+
+@pytest.mark.parametrize("n", [400])
+def test_long_conversation(spark, n):
+    turns = spark.createDataFrame([(1, i, "assistant", str(i)) for i in range(n)], "conv_id int, turn int, role string, text string")
+    done = chat.format_conversations(turns)
+    learned = done.select(chat.read_spans(F.col("formatted"), F.col("loss_spans"))).first()[0]
+    assert learned == "".join(map(str, range(n)))

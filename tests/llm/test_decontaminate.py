@@ -1,0 +1,63 @@
+import random
+import re
+
+import pytest
+
+from cratemark.llm import decontaminate
+
+
+def split(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def reference(docs, items, window=10):
+    out = {}
+    for i, text in docs:
+        words, hit, found = split(text), set(), set()
+        for item, item_text in items:
+            own = split(item_text)
+            n = min(window, len(own))
+            for at in range(len(own) - n + 1 if n else 0):
+                for p in range(len(words) - n + 1):
+                    if words[p : p + n] == own[at : at + n]:
+                        hit |= set(range(p, p + n))
+                        found.add(str(item) if item is not None else "")
+        out[i] = (len(words), len(hit), sorted(found))
+    return out
+
+
+def compared(spark, docs, items):
+    d = spark.createDataFrame([(i, t, 1, 2) for i, t in docs], "doc_id long, text string, `row` int, words int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(d.repartition(3), b).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found}
+    assert all(r.n_items == len(r["items"]) for r in found) and len(found) == len(docs)
+    assert got == reference(docs, items)
+    clean = decontaminate.decontaminated(d, b)
+    assert clean.columns == d.columns
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, x in got.items() if not x[1])
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    say = lambda n, m: " ".join(rng.choice("abcdefg"[:m]) for _ in range(n))
+    items = [(i, say(rng.choice([0, 1, 3, 4, 5, 9, 10, 11, 14]), 7)) for i in range(14)]
+    items += [(99, None), (3, "Another text of the same item, with more than TEN words, really."), (50, say(12, 1))]
+    docs = [(i, say(rng.randint(0, 60), rng.choice([2, 7]))) for i in range(30)]
+    for i in range(30, 60):
+        source = rng.choice(items)[1] or ""
+        docs.append((i, say(rng.randint(0, 12), 7) + "; " + source.upper() + " -- " + say(3, 7)))
+    docs += [(100, None), (101, ""), (102, "!!! ...")]
+    compared(spark, docs, items)
+
+
+def test_edges(spark):
+    ten = "one two three four five six seven eight nine ten"
+    docs = [(1, ten), (2, ten.replace("ten", "eleven")), (3, f"Zero {ten.title()}, {ten}!"), (4, "été " + ten + " ß")]
+    compared(spark, docs, [(7, ten), (None, ten), (8, "été one")])
+    compared(spark, docs, [(7, None), (8, " ... ")])
+    compared(spark, docs, [])
+    compared(spark, [], [(7, ten)])
+    compared(spark, [(1, " ".join(f"w{i}" for i in range(30000)) + " " + ten)], [(7, ten)])

@@ -1,0 +1,59 @@
+"""Queries against their SQL, and what the contract says of the others."""
+
+import glob
+import hashlib
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from cratemark.llm import queries as llm_queries
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    yield connection
+    connection.close()
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", list(llm_queries.oracle_sql()))
+def test_against_sql(spark, sql, name):
+    frame = llm_queries.queries()[name](spark, SF_DIR)
+    cursor = sql.execute(llm_queries.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(frame.columns) == sorted(columns)
+    assert bag(frame.columns, frame.collect()) == bag(columns, cursor.fetchall())
+
+
+def test_all_are_registered():
+    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in llm_queries.queries()}
+    assert llm_queries.queries().keys() | {"pipeline"} <= contract.queries().keys()
+
+
+def test_html_query(spark):
+    rows = llm_queries.op2_html_text(spark, SF_DIR).collect()
+    assert all(r.n_chars == len(r.text) for r in rows) and any(r.text for r in rows)
+
+
+def test_fingerprint_query_edits(spark, sql):
+    docs = sql.execute("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()
+    found = {r.doc_id: r for r in llm_queries.op9_fingerprints(spark, SF_DIR).collect()}
+    assert len(found) == len(docs)
+    for (i, text), (_, after) in zip(docs, docs[1:] + docs[:1]):
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert found[i].n_chars == len(text)
+        assert found[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
