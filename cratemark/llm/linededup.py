@@ -216,7 +216,8 @@ def dedup_lines(
         .withColumnRenamed("row", "_row"),
         "lines-spans",
     )
-    joined = base.join(spans, F.col("row") == F.col("_row"), "left")
+    # Few bytes in a file, but not in memory: the spans are never broadcast.
+    joined = base.join(spans.hint("merge"), F.col("row") == F.col("_row"), "left")
     gone = F.flatten(
         F.transform(
             "spans", lambda s: F.sequence(s["start"] + 1, s["start"] + s["n_lines"])
