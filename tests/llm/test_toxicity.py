@@ -1,0 +1,114 @@
+import random
+
+import numpy as np
+import pytest
+
+from cratemark.llm import toxicity
+
+INSULTS = ["idiot", "moron", "worthless"]
+
+
+def talk(rng, n):
+    return " ".join("".join(rng.choice(["ta", "re", "in", "son", "vel", "um"]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+def document(rng, insult=None):
+    sentences = [talk(rng, rng.randint(4, 10)).capitalize() + "." for _ in range(rng.randint(1, 8))]
+    if insult:
+        k = rng.randrange(len(sentences))
+        words = sentences[k].split(" ")
+        words.insert(rng.randrange(len(words)), insult)
+        sentences[k] = " ".join(words)
+    return " ".join(sentences)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    return [(i, document(rng, rng.choice(INSULTS) if i % 4 == 0 else None), int(i % 4 == 0)) for i in range(1700)]
+
+
+@pytest.fixture(scope="module")
+def model(corpus):
+    return toxicity.fit([t for _, t, _ in corpus[:1500]], [y for _, _, y in corpus[:1500]])
+
+
+def scored(model, texts):
+    return model.scores(np.array([toxicity._highest(model, t) for t in texts]))
+
+
+def test_held_out_documents(corpus, model):
+    held = corpus[1500:]
+    found = scored(model, [t for _, t, _ in held]) >= 0.5
+    truth = np.array([y for _, _, y in held]) > 0
+    assert found[truth].mean() >= 0.95 and found[~truth].mean() <= 0.05
+
+
+def test_gaps_and_inserted_signs(model):
+    rng = random.Random(5)
+    spelled = ["id-iot", "IDIOT", "mo ron", "w-orthless", "idi0t", "i.diot", "wor*thless", "iidiot"]
+    found = scored(model, [document(rng, w) for w in spelled for _ in range(8)]) >= 0.5
+    assert found.mean() >= 0.8
+    # With a sign after every letter most is gone, but not all.
+    apart = scored(model, [document(rng, w) for w in ("i.d.i.o.t", "m-o-r-o-n") for _ in range(20)])
+    plain = scored(model, [document(rng) for _ in range(40)])
+    assert (plain < 0.5).mean() >= 0.9 and np.median(apart) > 2 * np.median(plain)
+
+
+def test_the_table_is_the_kernel_machine(model):
+    """A text's score by the table is what landmarks and weights give."""
+    rng = random.Random(9)
+    landmarks = toxicity._Landmarks([" idiot ", " moron ", talk(rng, 9)])
+    w = np.array([0.5, -1.0, 2.0])[: landmarks.whiten.shape[1]]
+    own = toxicity.Model(landmarks.table(w), 0.25, 1.0, 0.0)
+    for text in ("an idiot here", "nothing", talk(rng, 10)):
+        points = toxicity._codes(text)
+        direct = landmarks.coordinates(points) @ w + 0.25
+        ids, weights = toxicity._Landmarks.occurrences(points)
+        by_table = (weights * own.table[ids]).sum() / np.sqrt(toxicity._mass(ids, weights)) + 0.25
+        assert abs(direct - by_table) < 1e-4
+
+
+def test_subsequences_by_brute_force():
+    codes = np.array([2, 3, 4, 0, 5, 6, 7], dtype=np.uint8)
+    padded = np.concatenate([codes, np.full(toxicity._PAD, 1, dtype=np.uint8)])
+    found = sorted((int(i), round(float(w), 5)) for ids, ws in toxicity._occurrences(padded) for i, w in zip(ids, ws))
+    want = []
+    for start in range(len(codes)):
+        for steps in toxicity._STEPS:
+            at, weight, places = start, 1.0, [start]
+            for step in steps:
+                weight *= toxicity._SKIP[padded[at + 1]] if step == 2 else 1.0
+                at += step
+                places.append(at)
+            want.append((int(sum(int(padded[p]) << (5 * (3 - k)) for k, p in enumerate(places))), round(float(weight), 5)))
+    assert found == sorted(want)
+
+
+def test_long_texts_are_read_to_the_end(model):
+    rng = random.Random(1)
+    clean = next(d for d in (document(rng) for _ in range(99)) if scored(model, [d])[0] < 0.5)
+    long_text = " ".join([clean] * 3000)
+    low, high = scored(model, [long_text, long_text + " You idiot there."])
+    assert low < 0.5 <= high
+    assert scored(model, ["x" * 600000])[0] < 0.5
+
+
+def test_spark_side(spark, corpus):
+    rows = [(i, t, "c") for i, t, _ in corpus[:900]] + [(9000, None, "n"), (9001, "", "e"), (None, "idiot", "x"), (0, corpus[0][1], "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(4)
+    labels = [(i, y) for i, _, y in corpus[:900]] + [(None, 1), (5, None), (12345, 1), (9000, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    found = toxicity.score(docs, model).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id == 0}) == 1
+    assert all(r.score < 0.5 for r in found if r.doc_id in (9000, 9001))
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.score < 0.5 for r in found)
+    assert toxicity.score(docs.limit(0), model).collect() == []
+    nothing = toxicity.train(docs, labels.limit(0))
+    assert all(r.score < 0.5 for r in toxicity.score(docs, nothing).collect())
+    all_toxic = toxicity.train(docs, labels.where("toxic = 1"))
+    assert all(r.score > 0.5 for r in toxicity.score(docs, all_toxic).collect())
