@@ -95,21 +95,24 @@ def sentence_starts(points: np.ndarray) -> np.ndarray:
     return starts
 
 
-def _occurrences(classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _occurrences(
+    classes: np.ndarray, left: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, weights) of the subsequences from each place on, by the pattern of
-    skips; ``classes`` ends with ``_PAD`` spaces that begin none."""
-    n = len(classes) - _PAD
+    skips. ``left`` is how many characters of its sentence each place has from
+    there on: one that would reach further weighs nothing. ``classes`` ends with
+    ``_PAD`` places more, which begin none."""
+    n = len(left)
     wide = classes.astype(np.int32)
     skip = _SKIP[classes]
     pairs = {1: (wide[:-1] << _BITS) | wide[1:], 2: (wide[:-2] << _BITS) | wide[2:]}
     for a, b, c in _STEPS:
         ids = (pairs[a][:n] << (2 * _BITS)) | pairs[c][a + b : a + b + n]
-        weights = None
+        weights = (left > a + b + c).astype(np.float32)
         for at, step in ((0, a), (a, b), (a + b, c)):
             if step == 2:
-                own = skip[at + 1 : at + 1 + n]
-                weights = own if weights is None else weights * own
-        yield ids, np.ones(n, dtype=np.float32) if weights is None else weights
+                weights *= skip[at + 1 : at + 1 + n]
+        yield ids, weights
 
 
 def _padded(points: np.ndarray) -> np.ndarray:
@@ -138,7 +141,9 @@ class Model:
             return np.full(1, self.bias)
         found = np.zeros(len(points), dtype=np.float32)
         mass = np.zeros(len(points), dtype=np.float32)
-        for ids, weights in _occurrences(_padded(points)):
+        ends = np.append(starts[1:], len(points))
+        left = np.repeat(ends, np.diff(np.append(starts, len(points)))) - np.arange(len(points))
+        for ids, weights in _occurrences(_padded(points), left):
             found += weights * self.table[ids]
             mass += weights * weights
         sums = np.add.reduceat(found, starts, dtype=np.float64)
@@ -187,8 +192,10 @@ class _Landmarks:
 
     @staticmethod
     def occurrences(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids, weights = zip(*_occurrences(_padded(points)))
-        return np.concatenate(ids), np.concatenate(weights)
+        left = len(points) - np.arange(len(points))
+        ids, weights = zip(*_occurrences(_padded(points), left))
+        ids, weights = np.concatenate(ids), np.concatenate(weights)
+        return ids[weights > 0], weights[weights > 0]
 
     @classmethod
     def _vector(cls, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
