@@ -346,7 +346,7 @@ def train(
 ) -> Model:
     """A model from the labelled rows of ``docs``, at most ``most_docs`` of each
     label, chosen by a hash of the id. Rows without a label or id teach nothing;
-    several labels of an id count as the highest."""
+    several labels of an id count as the highest, of several texts the least counts."""
     wanted = (
         labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_label"))
         .where(F.col("_id").isNotNull() & F.col("_label").isNotNull())
@@ -362,8 +362,9 @@ def train(
     sample = docs.select(docs[id_col].alias("_doc"), docs[text_col].alias("_text")).join(
         F.broadcast(picked), F.col("_doc") == F.col("_id")
     )
-    rows = sample.select("_place", "_id", "_label", F.coalesce("_text", F.lit("")).alias("_text")).collect()
-    rows.sort(key=lambda r: (r["_place"], str(r["_id"]), r["_text"]))
+    # One text of each id, so that repeated ids do not grow what the driver gets.
+    texts = sample.groupBy("_place", "_id", "_label").agg(F.min(F.coalesce("_text", F.lit(""))).alias("_text"))
+    rows = sorted(texts.collect(), key=lambda r: (r["_place"], str(r["_id"])))
     return fit([r["_text"] for r in rows], [r["_label"] for r in rows])
 
 

@@ -113,3 +113,11 @@ def test_spark_side(spark, corpus):
     assert all(r.score < 0.5 for r in toxicity.score(docs, nothing).collect())
     all_toxic = toxicity.train(docs, labels.where("toxic = 1"))
     assert all(r.score > 0.5 for r in toxicity.score(docs, all_toxic).collect())
+
+
+def test_repeated_ids_teach_once(spark, monkeypatch):
+    rows = [(1, f"text {k % 7}") for k in range(300)] + [(2, "other"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: sorted(zip(texts, y)))
+    assert toxicity.train(docs, labels) == [("", 0), ("other", 0), ("text 0", 1)]
