@@ -310,36 +310,53 @@ def near_duplicates(
     columns named are read. Equal fingerprints are one node of the graph, so a
     group of copies, however large, costs one comparison.
     """
-    fps = stored(
-        fingerprints(docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")), "_text", ("_id",), shingle),
-        "simhash-fps",
-    )
+    named = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    found = _grouped(named, ("_id",), shingle, most_bits, blocks)
+    return found.select(F.col("_id").alias(id_col), "fp", "component_id")
+
+
+def _grouped(
+    docs: DataFrame, keep: tuple[str, ...], shingle: int, most_bits: int, blocks: int | None
+) -> DataFrame:
+    """``keep``, with _id among them, fp, component_id and root, a number of the
+    component, for the texts of ``docs._text``."""
+    fps = stored(fingerprints(docs, "_text", keep, shingle), "simhash-fps")
     member = stored(components(near_links(fps, most_bits, blocks)), "simhash-components")
     least = fps.groupBy("fp").agg(F.min("_id").alias("least"))
     rooted = least.join(member, least["fp"] == member["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return fps.join(named, F.col("fp") == F.col("_fp")).select(
-        F.col("_id").alias(id_col), "fp", "component_id"
-    )
+    named = rooted.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id", "root")
+    return fps.join(named, F.col("fp") == F.col("_fp")).select(*keep, "fp", "component_id", "root")
 
 
 def one_of_each(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    shingle: int = SHINGLE,
+    most_bits: int = MOST_BITS,
+    blocks: int | None = None,
 ) -> DataFrame:
-    """``docs`` without the near-duplicates of a row with a smaller id; all columns.
+    """``docs`` with one row of each component; all columns.
 
-    Rows are told apart by their id: rows that share one stay or go together, and
-    rows without an id stay.
+    It is the row with the smallest id, of rows that share it the first as the table
+    was read. Rows without an id stay.
     """
-    found = near_duplicates(docs, text_col, id_col, **options)
+    numbered = stored(docs.withColumn("_number", F.monotonically_increasing_id()), "simhash-rows")
+    named = numbered.select(
+        F.col(id_col).alias("_id"), F.col("_number").alias("_n"), F.col(text_col).alias("_text")
+    )
+    found = _grouped(named, ("_id", "_n"), shingle, most_bits, blocks)
+    # Rows without an id link others, but neither go nor stand for them.
+    found = found.where(F.col("_id").isNotNull())
+    first = found.groupBy(F.col("root").alias("_root")).agg(F.min(F.struct("_id", "_n")).alias("_first"))
     gone = stored(
-        found.where(F.col(id_col) != F.col("component_id"))
-        .select(F.col(id_col).alias("_gone"))
-        .distinct(),
+        found.join(first, F.col("root") == F.col("_root"))
+        .where(F.col("_n") != F.col("_first._n"))
+        .select(F.col("_n").alias("_gone")),
         "simhash-gone",
     )
-    small = F.broadcast(gone) if fits(gone, 64) else gone
-    return docs.join(small, docs[id_col] == F.col("_gone"), "left_anti")
+    small = F.broadcast(gone) if fits(gone, 16) else gone
+    return numbered.join(small, F.col("_number") == F.col("_gone"), "left_anti").drop("_number")

@@ -99,3 +99,11 @@ def test_components_of_chains_stars_and_nulls(spark):
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200}
     assert found == want
     assert components(frame.limit(0)).collect() == []
+
+
+def test_one_row_of_repeated_ids(spark):
+    rows = [(5, "one two"), (3, "one two"), (3, "One two"), (3, "x" * 90), (5, "y y y"), (None, "one two")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, place int").coalesce(1)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.place for r in kept.collect()) == [1, 3, 4, 5]
