@@ -15,6 +15,7 @@ from cratemark.llm import (
     htmltext,
     linededup,
     mixing,
+    resampling,
     simhash,
     substrings,
     tokencounts,
@@ -139,7 +140,8 @@ def _mix_round(n: int, before: str) -> str:
 
 _OP8 = rf"""WITH d AS (
       SELECT doc_id, source,
-        CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size,
         md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')) AS draw
       FROM documents
     ), s AS (
@@ -235,6 +237,65 @@ _OP10 = f"""WITH t AS (
       CAST(size AS BIGINT) AS formatted_chars FROM g"""
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resampled(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The 256 steps of CRC32 by their rule, and the checksum of a binary: its bytes
+# taken in one after the other.
+_CRC_STEPS = """(SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+      lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n))::BIGINT[] AS steps)"""
+
+
+def _crc_sql(binary: str) -> str:
+    return f"""xor(4294967295::BIGINT, list_reduce(
+      list_transform(range(octet_length({binary})),
+        lambda i: CAST('0x' || substr(hex({binary}), 2 * i::BIGINT + 1, 2) AS BIGINT)),
+      lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]), 4294967295::BIGINT))"""
+
+
+_OP11 = f"""WITH crc AS MATERIALIZED {_CRC_STEPS},
+    d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+    dw AS (SELECT row, unnest(w) AS word FROM d),
+    tw AS (SELECT unnest(w) AS word FROM (SELECT {_WORDS} AS w FROM benchmark)),
+    b AS MATERIALIZED (
+      SELECT word, {_crc_sql('encode(word)')} % 10000 AS bucket
+      FROM (SELECT word FROM dw UNION SELECT word FROM tw), crc
+    ),
+    s AS (SELECT bucket, count(*) AS n FROM dw JOIN b USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS n FROM tw JOIN b USING (word) GROUP BY bucket),
+    g AS (
+      SELECT bucket, CAST(floor(1000 * ln(
+          (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+          / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)
+        )) AS BIGINT) AS gain
+      FROM s FULL JOIN t USING (bucket)
+    ),
+    f AS (
+      SELECT row, count(*) AS n, sum(gain) AS gained
+      FROM dw JOIN b USING (word) JOIN g USING (bucket) GROUP BY row
+    ),
+    v AS (
+      SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+        CAST(coalesce(floor(gained::DOUBLE / n), 0) AS BIGINT) AS weight,
+        CAST('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN f USING (row)
+    ),
+    e AS (
+      SELECT doc_id, n_features, weight,
+        weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM v
+    ),
+    o AS (
+      SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id NULLS FIRST) AS place FROM e
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <=
+        (SELECT count(*) FROM e WHERE n_features >= 20) * 10 // 100 THEN place END AS rank FROM o"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -247,6 +308,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": op8_source_mix,
         "op9_fingerprints": op9_fingerprints,
         "op10_chat_format": op10_chat_format,
+        "op11_resampling": op11_resampling,
     }
 
 
@@ -255,4 +317,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontamination": _OP4,
         "op8_source_mix": _OP8,
         "op10_chat_format": _OP10,
+        "op11_resampling": _OP11,
     }
