@@ -14,6 +14,7 @@ from cratemark.llm import (
     fingerprints,
     htmltext,
     linededup,
+    merkle,
     mixing,
     resampling,
     simhash,
@@ -296,6 +297,82 @@ _OP11 = f"""WITH crc AS MATERIALIZED {_CRC_STEPS},
         (SELECT count(*) FROM e WHERE n_features >= 20) * 10 // 100 THEN place END AS rank FROM o"""
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
+    values = [F.translate("text", "\n", "") if c == "text" else F.col(c) for c in merkle.COLUMNS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(tampered, merkle.leaf_digest(*values))
+    found = merkle.manifest(docs.withColumn("changed", changed), keep=("changed",))
+    rebuilt = merkle.folded(
+        F.coalesce("changed", "leaf"), F.col("proof"), F.col("places"), F.col("sizes")
+    )
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+        rebuilt.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values
+    ) + ")"
+
+
+def _levels_sql(base: str) -> str:
+    """Nodes of all levels, from those of ``base`` (tree, place, n, digest)."""
+    return f"""SELECT tree, 0 AS level, place, n, digest FROM {base}
+      UNION ALL
+      SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+      FROM {{}} WHERE n > 1 GROUP BY tree, level, n, place // 3"""
+
+
+_OP13 = f"""WITH RECURSIVE crc AS MATERIALIZED {_CRC_STEPS},
+    h AS (
+      SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+        CASE WHEN {_crc_sql('encode(doc_id::VARCHAR)')} % 2 = 0
+          THEN {_leaf_sql("replace(text, chr(10), '')")} END AS changed
+      FROM documents, crc
+    ),
+    l AS MATERIALIZED (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS row FROM h
+    ),
+    lower AS ({_levels_sql('(SELECT source AS tree, place, n, leaf AS digest FROM l)').format('lower')}),
+    subs AS MATERIALIZED (
+      SELECT tree AS source, level AS height, digest AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place,
+        count(*) OVER () AS n FROM lower WHERE n = 1
+    ),
+    upper AS ({_levels_sql('(SELECT 0 AS tree, place, n, subroot AS digest FROM subs)').format('upper')}),
+    nodes AS MATERIALIZED (
+      SELECT tree, FALSE AS above, level, place, digest FROM lower WHERE n > 1
+      UNION ALL SELECT NULL, TRUE, level, place, digest FROM upper WHERE n > 1
+    ),
+    path AS (
+      SELECT row, l.source, subs.place AS nth, height, l.place, 0 AS level, height = 0 AS above,
+        CASE WHEN height = 0 THEN subs.place ELSE l.place END AS here,
+        coalesce(changed, leaf) AS digest, '' AS proof
+      FROM l JOIN subs ON l.source IS NOT DISTINCT FROM subs.source
+      UNION ALL
+      SELECT row, source, nth, height, place, next, ended, CASE WHEN ended AND NOT above THEN nth ELSE here END, digest, proof FROM (
+        SELECT p.row, p.source, p.nth, p.height, p.place, p.above,
+          p.above OR p.level + 1 = p.height AS ended,
+          CASE WHEN NOT p.above AND p.level + 1 = p.height THEN 0 ELSE p.level + 1 END AS next,
+          p.here // 3 AS here,
+          sha256(string_agg(CASE WHEN x.place = p.here THEN p.digest ELSE x.digest END, '' ORDER BY x.place)) AS digest,
+          p.proof || coalesce(string_agg(x.digest, '' ORDER BY x.place) FILTER (x.place <> p.here), '') AS proof
+        FROM path AS p JOIN nodes AS x
+          ON x.above = p.above AND (p.above OR x.tree IS NOT DISTINCT FROM p.source)
+          AND x.level = p.level AND x.place // 3 = p.here // 3
+        GROUP BY p.row, p.source, p.nth, p.height, p.place, p.above, p.level, p.here, p.proof
+      ) AS s
+    ),
+    done AS (SELECT row, arg_max(digest, (above, level)) AS folded_root, arg_max(proof, (above, level)) AS proof FROM path GROUP BY row),
+    root AS (SELECT digest AS root FROM upper WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM l JOIN done USING (row) JOIN subs ON l.source IS NOT DISTINCT FROM subs.source, root"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -309,6 +386,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_fingerprints": op9_fingerprints,
         "op10_chat_format": op10_chat_format,
         "op11_resampling": op11_resampling,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -318,4 +396,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_source_mix": _OP8,
         "op10_chat_format": _OP10,
         "op11_resampling": _OP11,
+        "op13_merkle": _OP13,
     }

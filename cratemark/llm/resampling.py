@@ -13,6 +13,7 @@ row, and all its checksums advance together, a column at a time.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,9 @@ MOST_WORDS = 1
 LEAST_WORDS = 20
 PERCENT = 10
 SEED = 2024
+# A feature longer than this is a matrix of its own with more columns than it is
+# worth; such junk words are summed one by one.
+LONG = 512
 # Texts of a batch are worked on in slices of about so many bytes.
 SLICE_BYTES = 8 << 20
 
@@ -62,12 +66,17 @@ def _buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def crc32_of(distinct: pa.Array) -> np.ndarray:
-    """CRC32 of every (non-null) string or binary, by length-bucketed matrices."""
+    """CRC32 of every (non-null) string or binary, by length-bucketed matrices; those
+    beyond LONG bytes one by one."""
     offsets, data = _buffers(distinct)
     lengths = np.diff(offsets)
     sums = np.zeros(len(lengths), dtype=np.uint32)
     for length in np.unique(lengths):
         rows = np.flatnonzero(lengths == length)
+        if length > LONG:
+            for row in rows:
+                sums[row] = zlib.crc32(data[offsets[row] : offsets[row + 1]])
+            continue
         matrix = data[offsets[rows][:, None] + np.arange(length)]
         crc = np.full(len(rows), 0xFFFFFFFF, dtype=np.uint32)
         for column in range(length):

@@ -1,0 +1,103 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cratemark.llm import merkle
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    out = ""
+    for v in row:
+        v = None if v is None else str(v)
+        out += "-" if v is None else f"{len(v.encode())}:{v}"
+    return sha(out)
+
+
+def tree(nodes, arity):
+    """The root, and for every node its siblings level by level."""
+    proofs, at = [[] for _ in nodes], [[n] for n in range(len(nodes))]
+    while len(nodes) > 1:
+        runs = [range(i, min(i + arity, len(nodes))) for i in range(0, len(nodes), arity)]
+        for run in runs:
+            for n in run:
+                for base in at[n]:
+                    proofs[base].append([nodes[m] for m in run if m != n])
+        at = [[base for n in run for base in at[n]] for run in runs]
+        nodes = [sha("".join(nodes[n] for n in run)) for run in runs]
+    return nodes[0], proofs
+
+
+def brute_force(rows, arity):
+    """Rows are (id, source, text); sorted lists of what the manifest says."""
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    below = []
+    for source in sources:
+        own = [(r, leaf(r)) for r in rows if r[1] == source]
+        own.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        below.append((own, *tree([d for _, d in own], arity)))
+    root, above = tree([subroot for _, subroot, _ in below], arity)
+    out = []
+    for (own, subroot, proofs), upper in zip(below, above):
+        for (r, digest), proof in zip(own, proofs):
+            siblings = "".join(d for level in proof + upper for d in level)
+            out.append(str([r[0], digest, subroot, root, siblings]))
+    return sorted(out)
+
+
+def found(frame):
+    return sorted(str([r.doc_id, r.leaf, r.subroot, r.root, r.proof]) for r in frame.collect())
+
+
+def sample(rng, sizes):
+    rows = []
+    for source, n in sizes.items():
+        rows += [(rng.randrange(10**6), source, rng.choice(["", "é\n" * 9, None, f"t{i}"])) for i in range(n)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(
+    "arity, span, sizes",
+    [
+        (3, 8, {"a": 1}),
+        (3, 8, {"a": 40, None: 3, "é": 1, "": 10, "B": 4}),
+        (3, 1, {"hot": 100, "a": 28, "b": 9, "c": 1}),
+        (3, 2, {f"s{i}": i for i in range(1, 31)}),
+        (2, 2, {"a": 33, None: 1, "b": 2}),
+    ],
+)
+def test_against_brute_force(spark, arity, span, sizes):
+    rows = sample(random.Random(span), sizes)
+    # Clashing names, and columns that are not part of the leaves.
+    frame = spark.createDataFrame(
+        [(*r, "p", 1, "d") for r in rows], "doc_id long, source string, text string, tree string, place int, digest string"
+    ).repartition(4)
+    got = merkle.manifest(frame, ("doc_id", "source", "text"), arity=arity, span=span)
+    assert found(got) == brute_force(rows, arity)
+    proven = got.select(merkle.folded(F.col("leaf"), F.col("proof"), F.col("places"), F.col("sizes")).alias("r"), "root")
+    assert proven.where("r = root").count() == len(rows)
+
+
+def test_nulls_and_repeated_rows(spark):
+    rows = [(None, "a", "x"), (1, "a", "x"), (1, "a", "x"), (1, "a", "y"), (None, None, None), (5, None, "z" * 500_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    columns = ("doc_id", "source", "text")
+    assert found(merkle.manifest(frame, columns)) == brute_force(rows, 3)
+    assert merkle.manifest(frame.limit(0), columns).collect() == []
+
+
+def test_kept_columns_show_tampering(spark):
+    rows = sample(random.Random(1), {"a": 20, "b": 5})
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    columns = ("doc_id", "source", "text")
+    other = merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.translate("text", "\n", ""))
+    got = merkle.manifest(frame.withColumn("other", other), columns, keep=("other", "text"))
+    rebuilt = merkle.folded(F.col("other"), F.col("proof"), F.col("places"), F.col("sizes"))
+    for r in got.withColumn("rebuilt", rebuilt).collect():
+        assert (r.rebuilt == r.root) == ("\n" not in (r.text or ""))
