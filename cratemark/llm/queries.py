@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratemark.llm import (
+    bpe,
     chat,
     decontaminate,
     fingerprints,
@@ -297,6 +298,20 @@ _OP11 = f"""WITH crc AS MATERIALIZED {_CRC_STEPS},
         (SELECT count(*) FROM e WHERE n_features >= 20) * 10 // 100 THEN place END AS rank FROM o"""
 
 
+# A public vocabulary whose words have ends; a path that all executors can open.
+WORD_VOCABULARY = os.environ.get("TOKENIZER_WORDS", "/opt/tokenizers/word_bpe_49k.json")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe.encoded(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return bpe.decoded(tokens, WORD_VOCABULARY).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
     values = [F.translate("text", "\n", "") if c == "text" else F.col(c) for c in merkle.COLUMNS]
@@ -386,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_fingerprints": op9_fingerprints,
         "op10_chat_format": op10_chat_format,
         "op11_resampling": op11_resampling,
+        "op12_bpe": op12_bpe,
         "op13_merkle": op13_merkle,
     }
 

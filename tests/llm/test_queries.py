@@ -39,7 +39,7 @@ def test_against_sql(spark, sql, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in (*range(1, 12), 13)} == {n.split("_")[0] for n in llm_queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in llm_queries.queries()}
     assert llm_queries.queries().keys() | {"pipeline"} <= contract.queries().keys()
 
 
