@@ -171,6 +171,24 @@ def feature_document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feature_documents_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, landed as a file each, put together in files of lines."""
+    path, packed = new_folder(spark, "feature-files"), new_folder(spark, "feature-packed")
+    texts = adapter.feature_array_documents(spark, sf_dir)
+    texts.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    cm.pack_documents(spark, path, packed)
+    return cm.feature_rows(cm.feature_documents(spark, packed, lines=True))
+
+
+def gzip_resplit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in one compressed file, dealt out to files that can be split."""
+    path, split = new_folder(spark, "features-one"), new_folder(spark, "features-split")
+    texts = adapter.feature_document_texts(spark, sf_dir)
+    texts.coalesce(1).write.option("compression", "gzip").text(path)
+    cm.pack_documents(spark, path, split, lines=True)
+    return cm.feature_rows(cm.feature_documents(spark, split, lines=True))
+
+
 def gzip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents from compressed files."""
     return cm.feature_rows(_landed_features(spark, sf_dir, "gzip"))
@@ -182,13 +200,14 @@ def feature_frames_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes landed per folder, from the file listing alone."""
-    path = new_folder(spark, "names")
+    """Bytes landed per folder, from a listing that tasks made and wrote once."""
+    path, inventory = new_folder(spark, "names"), new_folder(spark, "inventory")
     part = adapter.table(spark, sf_dir, "part")
     part.select(F.col("p_name").alias("value"), "p_brand").write.partitionBy("p_brand").text(path)
     folder = F.url_decode(F.regexp_extract("path", "/p_brand=([^/]*)/", 1))
+    cm.write_table(cm.landing_files(spark, path, "*.txt", levels=1), inventory)
     return (
-        cm.landing_files(spark, path, "*.txt")
+        spark.read.parquet(inventory)
         .groupBy(folder.alias("folder"))
         .agg(F.sum("length").alias("bytes"))
     )
@@ -203,19 +222,35 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.features_table(spark, path)
 
 
-def _stored_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    path = new_folder(spark, "categorized_tracks")
+def full_refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = cm.Store(spark, new_folder(spark, "store"))
     for _ in range(2):
-        cm.write_table(categorized_tracks(spark, sf_dir), path, mode=mode)
-    return cm.result_table(spark, path)
+        store.replace("categorized_tracks", categorized_tracks(spark, sf_dir))
+    return store.table("categorized_tracks")
 
 
-def full_refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_twice(spark, sf_dir, "overwrite")
+def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, the second of them repeated: it counts once."""
+    store = cm.Store(spark, new_folder(spark, "store"))
+    for run in ("first", "second", "second"):
+        store.append("categorized_tracks", categorized_tracks(spark, sf_dir), run=run)
+    return store.table("categorized_tracks")
 
 
-def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_twice(spark, sf_dir, "append")
+def append_twice_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a store: a folder that other tools read as it is."""
+    path = new_folder(spark, "categorized_tracks")
+    for _ in range(2):
+        cm.write_table(categorized_tracks(spark, sf_dir), path, mode="append")
+    return cm.result_table(spark, path)
+
+
+def earlier_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the table was before it was replaced."""
+    store = cm.Store(spark, new_folder(spark, "store"))
+    before = store.replace("categorized_tracks", categorized_tracks(spark, sf_dir))
+    store.replace("categorized_tracks", store.table("categorized_tracks").where("category = 'all'"))
+    return store.table("categorized_tracks", version=before.version)
 
 
 def _stored_result(spark: SparkSession, sf_dir: str, partition_by: str | None) -> DataFrame:
@@ -241,7 +276,17 @@ def refresh_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cm.result_table(spark, tables.result)
 
 
-def _refreshed_with_rejects(spark: SparkSession, sf_dir: str) -> cm.Tables:
+def publish_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job into a store, and the same run once more: it is through and
+    appends nothing."""
+    store = cm.Store(spark, new_folder(spark, "store"))
+    playlists, features = _landed_playlists(spark, sf_dir), _landed_features(spark, sf_dir)
+    for _ in range(2):
+        cm.publish(spark, playlists, features, store, run="nightly", result_mode="append")
+    return store.table("categorized_tracks")
+
+
+def _published_with_rejects(spark: SparkSession, sf_dir: str) -> cm.Store:
     """The whole job over documents of which some are broken."""
     landed = new_folder(spark, "landed")
     for name, good, broken in (
@@ -250,25 +295,25 @@ def _refreshed_with_rejects(spark: SparkSession, sf_dir: str) -> cm.Tables:
     ):
         texts = good(spark, sf_dir).select("value").unionByName(broken(spark, sf_dir))
         texts.write.text(f"{landed}/{name}")
-    tables = cm.Tables.under(new_folder(spark, "refresh"))
-    cm.refresh(
+    store = cm.Store(spark, new_folder(spark, "store"))
+    cm.publish(
         spark,
         cm.playlists(spark, f"{landed}/playlists", lines=True, malformed="skip"),
         cm.feature_documents(spark, f"{landed}/features", lines=True),
-        tables,
+        store,
         malformed="skip",
     )
-    return tables
+    return store
 
 
 def refresh_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the job makes of the documents that can be used."""
-    return cm.result_table(spark, _refreshed_with_rejects(spark, sf_dir).result)
+    return _published_with_rejects(spark, sf_dir).table("categorized_tracks")
 
 
 def refresh_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind and text of those that cannot."""
-    return spark.read.parquet(_refreshed_with_rejects(spark, sf_dir).rejected).select(
+    return _published_with_rejects(spark, sf_dir).table("rejected_documents").select(
         "kind", F.sha2("value", 256).alias("text_sha256")
     )
 
@@ -290,15 +335,20 @@ _QUERIES = (
     feature_documents,
     feature_document_files,
     feature_document_names,
+    feature_documents_packed,
     gzip_documents,
+    gzip_resplit,
     feature_frames_union,
     landing_inventory,
     parquet_roundtrip,
     full_refresh_twice,
     append_twice,
+    append_twice_plain,
+    earlier_version,
     browse_all,
     browse_category,
     refresh_from_documents,
+    publish_from_documents,
     refresh_skipping,
     refresh_rejected,
 )
@@ -470,7 +520,9 @@ def oracle_sql() -> dict[str, str]:
         "feature_documents": _DOCUMENTS,
         "feature_document_files": _ARRAYS,
         "feature_document_names": _ARRAYS,
+        "feature_documents_packed": _ARRAYS,
         "gzip_documents": _DOCUMENTS,
+        "gzip_resplit": _DOCUMENTS,
         "feature_frames_union": (
             f"{_DOCUMENTS} UNION ALL SELECT {_FEATURE_NAMES} FROM ({_FEATURES}) AS f"
         ),
@@ -481,11 +533,16 @@ def oracle_sql() -> dict[str, str]:
         "parquet_roundtrip": f"SELECT {_FEATURE_NAMES} FROM ({_FEATURES}) AS f",
         "full_refresh_twice": _FLAGSHIP,
         "append_twice": f"{_FLAGSHIP} UNION ALL {_FLAGSHIP}",
+        "append_twice_plain": f"{_FLAGSHIP} UNION ALL {_FLAGSHIP}",
+        "earlier_version": _FLAGSHIP,
         "browse_all": browse,
         "browse_category": f"{browse} WHERE category = 'Classic🏛️'",
         "refresh_from_documents": _joined(
             _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
         ),
+        "publish_from_documents": _joined(
+            _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
+        ),
         "refresh_skipping": _joined(
             _tracks_sql(), f"SELECT *, {_CATEGORY} AS category FROM ({_SHAPED}) AS s"
         ),

@@ -12,6 +12,12 @@ from pyspark.sql import types as T
 from ..schemas import FEATURE_ENTRY_TEXT, REQUIRED_KEYS
 
 
+def is_text(text: Column, lines: bool) -> Column:
+    """Whether there is anything to parse. A blank line is nothing, and so is an empty
+    file: a compressed one would be read as an empty text, a plain one as none."""
+    return text.rlike(r"\S") if lines else text != ""
+
+
 def is_object(text: Column) -> Column:
     return text.startswith("{") | text.rlike(r"^\s*\{")
 

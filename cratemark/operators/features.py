@@ -13,6 +13,7 @@ from ..functions.documents import (
     parse_entries,
 )
 from ..schemas import FEATURE_ENTRY, REQUIRED_KEYS
+from .tracks import outcome
 
 # The tests on ``entries`` below sit inside the generator and not in a filter.
 # A filter would be pushed below the projection and parse every document again.
@@ -30,6 +31,15 @@ def _rejected() -> Column:
     )
 
 
+def _feature_columns(entry: Column) -> list[Column]:
+    def measure(key: str) -> Column:
+        # NaN would be above every threshold; it stands for a missing value.
+        number = F.nanvl(entry[key], F.lit(None))
+        return (number.try_cast("bigint") if key == "duration_ms" else number).alias(key)
+
+    return [entry["id"].alias("track_id"), *[measure(k) for k in REQUIRED_KEYS]]
+
+
 def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     """The eleven feature columns, one row per entry of each accepted document.
 
@@ -52,16 +62,11 @@ def feature_rows(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     else:
         accepted = F.when(~_rejected(), accepted)
 
-    def measure(key: str) -> Column:
-        # NaN would be above every threshold; it stands for a missing value.
-        number = F.nanvl(F.col(f"entry.{key}"), F.lit(None))
-        return (number.try_cast("bigint") if key == "duration_ms" else number).alias(key)
-
     return (
         _parsed(documents, "FAILFAST" if malformed == "fail" else "PERMISSIVE")
         .select(F.explode(accepted).alias("entry"))
         .where(F.col("entry").isNotNull())
-        .select(F.col("entry.id").alias("track_id"), *[measure(k) for k in REQUIRED_KEYS])
+        .select(*_feature_columns(F.col("entry")))
     )
 
 
@@ -70,3 +75,18 @@ def rejected_documents(documents: DataFrame) -> DataFrame:
     return _parsed(documents, "PERMISSIVE").select(
         F.explode(F.when(_rejected(), F.array("value"))).alias("value")
     )
+
+
+def feature_outcomes(documents: DataFrame) -> DataFrame:
+    """What ``feature_rows(malformed="skip")`` and ``rejected_documents`` give, in one
+    pass: ``outcome`` is ``row`` or ``rejected``, ``value`` the text of a rejected
+    document; the columns of the other kind are null."""
+    text, entries = F.col("value"), F.col("entries")
+    nothing = F.lit(None).cast(FEATURE_ENTRY)
+    rejected = F.array(outcome("rejected", _feature_columns(nothing), text))
+    rows = F.transform(
+        F.filter(entries, lambda entry: entry.isNotNull()),
+        lambda entry: outcome("row", _feature_columns(entry)),
+    )
+    one = F.explode(F.when(_rejected(), rejected).when(has_required_keys(text, entries), rows))
+    return _parsed(documents, "PERMISSIVE").select(one.alias("one")).select("one.*")

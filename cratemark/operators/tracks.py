@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import TRACK_NODE
+
 
 def playlist_items(documents: DataFrame, *, malformed: str = "fail") -> DataFrame:
     """One row per playlist item that has a track: ``playlist_id``, ``position``
@@ -26,14 +28,37 @@ def playlist_items(documents: DataFrame, *, malformed: str = "fail") -> DataFram
     )
 
 
+def _track_columns(track: Column) -> list[Column]:
+    album = track["album"]
+    return [
+        track["id"].cast("string").alias("track_id"),
+        album["album_type"].alias("album_type"),
+        track["name"].alias("name"),
+        album["release_date"].alias("release_date"),
+        F.get(album["artists"], F.lit(0))["name"].alias("artist_name"),
+    ]
+
+
 def track_rows(items: DataFrame) -> DataFrame:
     """The five track columns. The artist is the first one of the album, null
     if it lists none."""
-    first_artist = F.get("track.album.artists", F.lit(0))
-    return items.select(
-        F.col("track.id").cast("string").alias("track_id"),
-        F.col("track.album.album_type").alias("album_type"),
-        F.col("track.name").alias("name"),
-        F.col("track.album.release_date").alias("release_date"),
-        first_artist["name"].alias("artist_name"),
-    )
+    return items.select(*_track_columns(F.col("track")))
+
+
+def track_outcomes(documents: DataFrame) -> DataFrame:
+    """What becomes of playlists that were read with ``malformed="skip"``, in one
+    pass: rows of tracks, whose ``outcome`` is ``row``, and the texts of documents
+    without items in ``value``, whose outcome is ``rejected``; the columns of the
+    other kind are null."""
+    listed = F.filter(F.transform("items", lambda item: item["track"]), lambda t: t.isNotNull())
+    nothing = F.lit(None).cast(TRACK_NODE)
+    rejected = F.array(outcome("rejected", _track_columns(nothing), F.col("value")))
+    rows = F.transform(listed, lambda track: outcome("row", _track_columns(track)))
+    one = F.explode(F.when(F.col("items").isNull(), rejected).otherwise(rows))
+    return documents.select(one.alias("one")).select("one.*")
+
+
+def outcome(kind: str, columns: list[Column], text: Column | None = None) -> Column:
+    """One element of what the generators of outcomes unnest."""
+    value = F.lit(None).cast("string") if text is None else text
+    return F.struct(F.lit(kind).alias("outcome"), *columns, value.alias("value"))

@@ -1,5 +1,6 @@
 """Whole jobs."""
 
+from .publish import publish
 from .refresh import Tables, refresh
 
-__all__ = ["Tables", "refresh"]
+__all__ = ["Tables", "publish", "refresh"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.documents import is_text
+
 DOCUMENT_FILES = "audio_features_*.{json,json.gz}"
 
 
@@ -21,12 +23,12 @@ def feature_documents(
     a task; files not named like ``audio_features_<id>.json`` or ``.json.gz``
     are passed over unless ``file_filter`` gives another pattern.
     ``lines=True`` reads one document per line: the same rows without the cost
-    of opening one file per track.
+    of opening one file per track. An empty file, compressed or not, and a
+    blank line are no documents.
     """
     if file_filter is None and not lines:
         file_filter = DOCUMENT_FILES
     reader = spark.read
     if file_filter:
         reader = reader.option("pathGlobFilter", file_filter)
-    documents = reader.text(path, wholetext=not lines)
-    return documents.where(F.trim("value") != "") if lines else documents
+    return reader.text(path, wholetext=not lines).where(is_text(F.col("value"), lines))

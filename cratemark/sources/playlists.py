@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.documents import in_brackets
+from ..functions.documents import in_brackets, is_text
 from ..schemas import PLAYLIST
 
 FILE_NAME_ID = r"^playlist_(.+?)\.json(?:\.gz)?$"
@@ -30,7 +30,8 @@ def playlists(
     ``path`` may be a file, a folder, a glob or a list of them; ``*.gz`` files
     are decompressed by the reader. By default each file is one document,
     however it is laid out. ``lines=True`` reads one document per line, which
-    Spark can split and which suits large volumes; blank lines are nothing.
+    Spark can split and which suits large volumes. Blank lines and
+    empty files, compressed or not, are nothing.
 
     The id comes from the ``playlist_id`` key of the ``document``, from a
     ``file_name`` like ``playlist_<id>.json``, or from a ``folder`` like
@@ -46,8 +47,7 @@ def playlists(
         raise ValueError(f"malformed must be fail or skip, not {malformed!r}")
     schema = "value string" + (", playlist_id string" if id_from == "folder" else "")
     texts = spark.read.schema(schema).text(path, wholetext=not lines)
-    if lines:
-        texts = texts.where(F.trim("value") != "")
+    texts = texts.where(is_text(F.col("value"), lines))
     outer_id = {
         "document": F.lit(None).cast("string"),
         "file_name": _id_in_file_name(),

@@ -183,3 +183,18 @@ def test_durations_that_are_no_long_are_malformed(spark, tmp_path, duration):
         cm.feature_rows(documents).collect()
     assert [r.track_id for r in cm.feature_rows(documents, malformed="skip").collect()] == ["b"]
     assert [r.value for r in cm.rejected_documents(documents).collect()] == [text]
+
+
+@pytest.mark.parametrize("malformed", ["fail", "skip"])
+def test_empty_files_are_no_documents(spark, tmp_path, malformed):
+    """With and without a codec."""
+    for name, text in {"a": b"", "c": json.dumps(full("c")).encode()}.items():
+        (tmp_path / f"audio_features_{name}.json").write_bytes(text)
+        (tmp_path / f"audio_features_{name}z.json.gz").write_bytes(gzip.compress(text))
+    (tmp_path / "audio_features_d.json.gz").write_bytes(b"")  # not even an empty archive
+    frame = cm.feature_documents(spark, str(tmp_path))
+    assert ids(cm.feature_rows(frame, malformed=malformed)) == ["c", "c"]
+    assert cm.rejected_documents(frame).collect() == []
+    (tmp_path / "audio_features_b.json.gz").write_bytes(gzip.compress(b" \n\t\r\n"))
+    lines = cm.feature_documents(spark, str(tmp_path), lines=True)
+    assert ids(cm.feature_rows(lines, malformed=malformed)) == ["c", "c"]

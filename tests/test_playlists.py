@@ -188,3 +188,12 @@ def test_document_without_items(spark, tmp_path, text, lines):
     assert cm.playlist_items(documents, malformed="skip").collect() == []
     with pytest.raises(ValueError):
         cm.playlist_items(documents, malformed="ignore")
+
+
+@pytest.mark.parametrize("malformed", ["fail", "skip"])
+def test_empty_files_hold_nothing(spark, tmp_path, malformed):
+    for name, text in {"a": b"", "c": b'{"playlist_id": "c", "items": []}'}.items():
+        (tmp_path / f"{name}.json").write_bytes(text)
+        (tmp_path / f"{name}z.json.gz").write_bytes(gzip.compress(text))
+    frame = cm.playlists(spark, str(tmp_path), malformed=malformed)
+    assert [r.playlist_id for r in frame.collect()] == ["c", "c"]
