@@ -23,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5, 2, 1)
 MAX_COPIES = 3
 REFILLS = 2
+# In which order the documents of a source are taken.
+_ORDER = ("_rank", "_draw", "_nth")
 
 
 def n_words(text: Column) -> Column:
@@ -159,8 +161,8 @@ def _cut(docs: DataFrame, budget: Column, few: bool) -> DataFrame:
         F.broadcast(last) if few else last,
         docs["_source"].eqNullSafe(F.col("_cut_source")) & (F.col("_bin") == F.col("_cut_bin")),
     )
-    ranked = Window.partitionBy("_source").orderBy("_rank", "_draw")
-    key = F.struct("_rank", "_draw")
+    ranked = Window.partitionBy("_source").orderBy(*_ORDER)
+    key = F.struct(*_ORDER)
     taken = (
         inside.withColumn("_sum", F.col("_before") + F.sum("_size").over(ranked))
         .groupBy("_source")
@@ -181,7 +183,7 @@ def _is_taken(number: int) -> Column:
     at = F.col(f"_cut_bin{number}")
     before = F.col("_bin") < at
     inside = (F.col("_bin") == at) & (
-        F.struct("_rank", "_draw") <= F.col(f"_cut_key{number}")
+        F.struct(*_ORDER) <= F.col(f"_cut_key{number}")
     )
     small = F.col("_size") <= F.col(f"_room{number}")
     # No cut: everything that may be taken fits.
@@ -199,6 +201,7 @@ def mix(
     total: int | None = None,
     doc_weight_col: str | None = None,
     refills: int = REFILLS,
+    split_equal: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """How often the mixture takes each document: ``(plan, sources)``.
 
@@ -214,12 +217,16 @@ def mix(
     more rounds, in the same order, take documents that still fit in.
 
     Nulls: a null source is a source of its own, a null id is an id. Rows with
-    the same id and text share their draw, so they are taken or left together.
+    the same id and text share their draw, so they are taken or left together,
+    which may leave a source of many such rows far from its target. With
+    ``split_equal`` the words end between them: they are taken one after the other,
+    as they are read, so that how many of them are taken is always the same.
     An empty table gives an empty plan; empty texts have size 0. Only the
     columns named are read, whatever others there are.
     """
     slim = stored(
-        docs.select(*_slim_columns(docs, text_col, id_col, source_col, doc_weight_col)), "mix-sizes"
+        docs.select(*_slim_columns(docs, text_col, id_col, source_col, doc_weight_col, split_equal)),
+        "mix-sizes",
     )
     totals = slim.groupBy("_source").agg(
         F.sum("_size").alias("source_size"),
@@ -282,7 +289,7 @@ def mix(
     return _planned(slim, sources, few, max_copies, refills), sources
 
 
-def _slim_columns(docs, text_col, id_col, source_col, doc_weight_col) -> list[Column]:
+def _slim_columns(docs, text_col, id_col, source_col, doc_weight_col, split_equal) -> list[Column]:
     weight = F.lit(1.0)
     if doc_weight_col is not None:
         given = F.coalesce(docs[doc_weight_col].cast("double"), F.lit(1.0))
@@ -292,6 +299,7 @@ def _slim_columns(docs, text_col, id_col, source_col, doc_weight_col) -> list[Co
         docs[source_col].alias("_source"),
         n_words(docs[text_col]).alias("_size"),
         draw(docs[id_col], docs[text_col]).alias("_draw"),
+        (F.monotonically_increasing_id() if split_equal else F.lit(0).cast("long")).alias("_nth"),
         weight.alias("_w"),
     ]
 
@@ -325,20 +333,24 @@ def mixture(
     max_copies: int = MAX_COPIES,
     doc_weight_col: str | None = None,
     refills: int = REFILLS,
+    split_equal: bool = False,
     **options,
 ) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as it is taken.
 
     Texts stay where they are read: what the sources decided is joined to the
     rows, and nothing but slim rows was ever shuffled. Cases as in ``mix``.
+    ``split_equal`` counts rows as they are read, here a second time, so ``docs``
+    has to be a table that is read alike each time, as stored files are.
     """
     _, sources = mix(
         docs, text_col, id_col, source_col,
-        max_copies=max_copies, doc_weight_col=doc_weight_col, refills=refills, **options,
+        max_copies=max_copies, doc_weight_col=doc_weight_col, refills=refills,
+        split_equal=split_equal, **options,
     )
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
-        *_slim_columns(docs, text_col, id_col, source_col, doc_weight_col),
+        *_slim_columns(docs, text_col, id_col, source_col, doc_weight_col, split_equal),
     )
     planned = _planned(rows, sources, fits(sources, 400), max_copies, refills)
     copies = F.sequence(F.lit(1), F.col("_copies").cast("int"))

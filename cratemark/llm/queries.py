@@ -123,7 +123,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
+    plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"), split_equal=True)
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
 
 
@@ -131,7 +131,7 @@ def _mix_round(n: int, before: str) -> str:
     """Documents that round ``n`` of the filling takes, and what room is left."""
     return f"""p{n} AS (
       SELECT *, coalesce(open AND size <= room AND sum(CASE WHEN open AND size <= room THEN size END)
-          OVER (PARTITION BY source ORDER BY NOT (open AND size <= room), rank, draw) <= room,
+          OVER (PARTITION BY source ORDER BY NOT (open AND size <= room), rank, draw, nth) <= room,
         FALSE) AS hit FROM {before}
     ), r{n} AS (
       SELECT * EXCLUDE (hit, drawn, open, room), drawn OR hit AS drawn, open AND NOT hit AS open,
@@ -142,9 +142,9 @@ def _mix_round(n: int, before: str) -> str:
 
 _OP8 = rf"""WITH d AS (
       SELECT doc_id, source,
-        CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+')) AS BIGINT) AS size,
-        md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')) AS draw
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')) AS draw,
+        row_number() OVER () AS nth
       FROM documents
     ), s AS (
       SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source

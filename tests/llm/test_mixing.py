@@ -103,3 +103,43 @@ def test_pareto_order_of_equal_fractions_is_the_draw(docs):
     rows = plan.where((F.col("_source") == "big") & (F.col("_expected") > F.col("_whole"))).collect()
     by_rank = sorted(rows, key=lambda r: r["_rank"])
     assert [r["_draw"][:13] for r in by_rank] == sorted(r["_draw"][:13] for r in rows)
+
+
+@pytest.mark.parametrize("rows, target", [(300, 2857), (100, 1071)])
+def test_equal_rows_are_split(spark, rows, target, tmp_path):
+    """A source of nothing but copies, and one of few words beside it."""
+    beside = "x " * 60 if rows == 300 else "y " * 500
+    text = words(10, "w")
+    extra = [(2, beside, "b")] if rows == 300 else [(k, "y " * 50, "b") for k in range(10, 20)]
+    frame = spark.createDataFrame([(1, text, "a")] * rows + extra, "doc_id long, text string, source string")
+    frame.repartition(5).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    plan = mixing.mixing_plan(docs, split_equal=True).collect()
+    own = [r for r in plan if r.doc_id == 1]
+    goal = own[0].target
+    taken = sum(r.copies * r["size"] for r in own)
+    assert goal - 10 < taken <= goal + 1e-6
+    assert max(r.copies for r in own) - min(r.copies for r in own) <= 1
+    mixed = mixing.mixture(docs, split_equal=True).where("doc_id = 1").count()
+    assert mixed * 10 == taken
+    other = mixing.mixing_plan(docs.repartition(3), split_equal=True).collect()
+    assert sum(r.copies for r in other if r.doc_id == 1) == sum(r.copies for r in own)
+
+
+def test_equal_rows_against_sql(spark, tmp_path):
+    import duckdb
+
+    from cratemark.llm import queries as llm_queries
+
+    rows = [(i % 7, words(3 + i % 7, "w"), "abc"[i % 3]) for i in range(400)]
+    rows += [(None, "a b c", None)] * 90 + [(5, None, "c")] * 4 + [(9, "one two", "d")] * 50
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    found = llm_queries.op8_source_mix(spark, str(tmp_path))
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cursor = sql.execute(llm_queries.oracle_sql()["op8_source_mix"])
+    columns = [d[0] for d in cursor.description]
+    rows = [tuple(r) for r in found.select(*columns).collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, cursor.fetchall()))
