@@ -39,7 +39,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of the sources takes them."""
-    return mixing.mixture(docs)
+    return mixing.mixture(docs, split_equal=True)
 
 
 STAGES = [
