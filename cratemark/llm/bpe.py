@@ -18,6 +18,7 @@ encodes nothing but windows.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,8 @@ class Encoder:
     leaves the end of the word open."""
 
     def __init__(self, vocabulary: str):
+        # A task has one core; the library would start a thread for each of the machine.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(vocabulary, encoding="utf-8") as file:
@@ -100,10 +104,11 @@ class Encoder:
             elif part:
                 yield self.whole.normalizer.normalize_str(part) if self.whole.normalizer else part
 
-    def _tokens(self, encoding, at: int) -> tuple[np.ndarray, ...]:
+    def _tokens(self, encoding, at: int, alone: bool = False) -> tuple[np.ndarray, ...]:
+        """Arrays of an encoding; of a text that is not joined to any, only the ids."""
         ids = np.array(encoding.ids, dtype=np.int32)
-        if not len(ids):
-            return _NOTHING
+        if alone or not len(ids):
+            return ids, *_NOTHING[1:]
         offsets = np.array(encoding.offsets, dtype=np.int64) + at
         words = np.array(encoding.word_ids, dtype=np.int64)
         first = np.append(True, words[1:] != words[:-1])
@@ -122,12 +127,15 @@ class Encoder:
         word = self._one_word(text, int(begins[last]), end, True)
         return tuple(np.concatenate([old[:last], new]) for old, new in zip(tokens, word))
 
-    def leaves(self, spans: list[tuple[str, int, int, bool]]) -> list[Node]:
-        """Every (text, start, end, whether the end is open), encoded on its own."""
-        found = self.text.encode_batch([t[a:b] for t, a, b, _ in spans], add_special_tokens=False)
+    def leaves(self, spans: list[tuple[str, int, int, bool, bool]]) -> list[Node]:
+        """Every (text, start, end, whether the end is open, whether this is all of the
+        text), encoded on its own."""
+        found = self.text.encode_batch([s[0][s[1] : s[2]] for s in spans], add_special_tokens=False)
         return [
-            Node(a, b, *self._settled(t, self._tokens(encoding, a), b, is_open))
-            for (t, a, b, is_open), encoding in zip(spans, found)
+            Node(a, b, *self._tokens(encoding, a, True))
+            if whole
+            else Node(a, b, *self._settled(t, self._tokens(encoding, a), b, is_open))
+            for (t, a, b, is_open, whole), encoding in zip(spans, found)
         ]
 
     def _kind(self, char: str) -> str:
@@ -171,15 +179,16 @@ class Encoder:
                     )
             size *= 2
 
-    def trees(self, texts: list[tuple[str, bool]], leaf: int) -> list[Node]:
+    def trees(self, texts: list[tuple[str, bool]], leaf: int, beside: bool = False) -> list[Node]:
         """Every (text, whether more follows), encoded by its own tree; all leaves in
-        one call."""
+        one call. ``beside`` says that they are pieces of longer texts."""
         spans, counts = [], []
         for text, is_open in texts:
             pieces = max(1, -(-len(text) // leaf))
             edges = [len(text) * p // pieces for p in range(pieces + 1)]
             counts.append(pieces)
-            spans += [(text, a, b, is_open or b < len(text)) for a, b in zip(edges, edges[1:])]
+            alone = pieces == 1 and not beside
+            spans += [(text, a, b, is_open or b < len(text), alone) for a, b in zip(edges, edges[1:])]
         nodes = self.leaves(spans)
         out, at = [], 0
         for (text, is_open), count in zip(texts, counts):
@@ -333,7 +342,7 @@ def _piece_nodes(vocabulary: str, leaf: int):
         encode = encoder(vocabulary)
         for batch in batches:
             texts, more = batch.column("text").to_pylist(), batch.column("more").to_pylist()
-            nodes = encode.trees([(t or "", m) for t, m in zip(texts, more)], leaf)
+            nodes = encode.trees([(t or "", m) for t, m in zip(texts, more)], leaf, True)
             arrays = [_lists([getattr(n, name).astype(np.int32) for n in nodes]) for name in ("ids", "begins", "ends")]
             flags = [_lists([n.first.astype(np.int32) for n in nodes]).cast(pa.list_(pa.bool_()))]
             yield pa.RecordBatch.from_arrays(
@@ -400,18 +409,35 @@ def encoded(
 
 def decoded(tokens: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """``tokens`` with ``decoded``, the text that the tokenizer makes of the ids, special
-    tokens included. Null ids are none; a null among them stands for nothing."""
+    tokens included. Null ids, and ids that the vocabulary lacks, stand for nothing.
+
+    A tokenizer without a decoder puts its tokens side by side with spaces between,
+    which is a join of strings; one with a decoder is asked itself.
+    """
     schema = T.StructType([*tokens.schema, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = encoder(vocabulary).whole.decode_batch
+        whole = encoder(vocabulary).whole
+        names = pa.array([whole.id_to_token(i) for i in range(whole.get_vocab_size())], pa.string())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
-                lists = few.column(few.schema.names.index(ids_col)).to_pylist()
-                texts = decode([[i for i in own or () if i is not None] for own in lists], skip_special_tokens=False)
-                yield pa.RecordBatch.from_arrays(
-                    [*few.columns, pa.array(texts, pa.string())], [*few.schema.names, "decoded"]
-                )
+                lists = few.column(few.schema.names.index(ids_col))
+                if whole.decoder is None:
+                    texts = _side_by_side(lists, names)
+                else:
+                    own = [[i for i in ids or () if i is not None] for ids in lists.to_pylist()]
+                    texts = pa.array(whole.decode_batch(own, skip_special_tokens=False), pa.string())
+                yield pa.RecordBatch.from_arrays([*few.columns, texts], [*few.schema.names, "decoded"])
 
     return tokens.mapInArrow(run, schema)
+
+
+def _side_by_side(lists: pa.Array, names: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ids = lists.flatten()
+    known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names))).fill_null(False)
+    kept = names.take(ids.filter(known))
+    there = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])
+    ends = there[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)].astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), kept), " ")
