@@ -175,10 +175,10 @@ def dedup_lines(
 
     A run goes if it has at least ``min_lines`` lines and ``min_chars`` characters,
     so that a lone bracket or "Yes." stays. The first occurrence, by id and line,
-    stays. Lines are what line feeds separate; they are compared exactly. What is
-    left of a document are its other lines in their order: all documents stay,
-    those that held nothing else as empty texts. ``with_counts`` adds n_lines and
-    n_deleted (null and empty texts have 0 and 1 lines).
+    stays. Lines are what line feeds separate; they are compared by two 64-bit
+    hashes. What is left of a document are its other lines in their order: all
+    documents stay, those that held nothing else as empty texts. ``with_counts`` adds
+    n_lines and n_deleted (null and empty texts have 0 and 1 lines).
 
     Nulls: a null text stays null; rows without an id come after all others. Of
     rows with the same id one counts as the first. An empty table stays empty.

@@ -250,7 +250,7 @@ def near_links(fps: DataFrame, most_bits: int = MOST_BITS, blocks: int | None =
     at most ``most_bits`` differing bits, directly or through others.
 
     ``blocks`` is 1 or 2; if not given, two for more than four million distinct
-    fingerprints. Both give the same components; two make 40 times more rows and
+    fingerprints. Both give the same components; two make about four times more rows and
     4096 times more anchors. An anchor with very many homes is dealt to several
     comparisons by home, its visitors going to each.
     """
