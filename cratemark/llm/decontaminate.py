@@ -11,6 +11,8 @@ length and position bounds check; and what is left is compared word by word.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,13 +53,6 @@ def shingle_hashes(words: Column, length: int) -> Column:
     return _let(F.transform(words, lambda w: F.xxhash64(w)), combine)
 
 
-def _numbered(hashes: Column, step: int) -> Column:
-    return F.transform(
-        hashes,
-        lambda h, i: F.struct(F.lit(step).alias("step"), i.alias("at"), h.alias("hash")),
-    )
-
-
 def item_windows(
     items: DataFrame, item_col: str, text_col: str, window: int, shingle: int
 ) -> DataFrame:
@@ -85,6 +80,11 @@ def item_windows(
     )
 
 
+def _small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, to be broadcast if rows of at most ``row_bytes`` fit."""
+    return F.broadcast(df) if fits(df, row_bytes) else df
+
+
 def contaminated_spans(
     docs: DataFrame,
     items: DataFrame,
@@ -94,94 +94,110 @@ def contaminated_spans(
     keep: tuple[str, ...] = ("doc_id",),
     window: int = WINDOW,
     shingle: int = SHINGLE,
-) -> tuple[DataFrame, DataFrame]:
-    """``(documents, hits)``: every row of ``docs`` with a row number, the columns
-    ``keep`` as a struct, and its number of words; and one row for each place where a window
-    occurs: row, at (first word, from 0), n, items."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(documents, hits, windows)``: every row of ``docs`` with a row number, the
+    columns ``keep`` as a struct, and n_words; one row for each place where a window
+    occurs: row, at (first word, from 0), n, w_id; and the windows: w_id, n, words,
+    items.
+
+    Words and hashes of the documents are worked out once and stored. Places go
+    through a shuffle, if the windows are too many for a broadcast, as numbers only;
+    then the words of a document with a candidate go once, whatever its length."""
     windows = stored(item_windows(items, item_col, item_text_col, window, shingle), "leak-windows")
-    shingles = None
     steps = sorted(r[0] for r in windows.select("step").distinct().collect())  # two at most
-    for step in steps:
-        of_step = windows.where(F.col("step") == step).select(
-            "w_id",
-            F.col("step"),
-            F.posexplode(shingle_hashes(F.col("words"), step)).alias("offset", "hash"),
-        )
-        shingles = of_step if shingles is None else shingles.unionByName(of_step)
-    spark = docs.sparkSession
-    if shingles is None:
-        shingles = spark.createDataFrame([], "w_id string, step int, offset int, hash bigint")
-    shingles = stored(shingles, "leak-shingles")
-
-    # One pass over the texts: where any shingle of any window occurs, with the
-    # words around it, and one row for the document itself (place -1).
-    wanted = shingles.select("step", "hash").distinct()
-    own = spark.range(1).select(F.lit(0).alias("step"), F.lit(0).cast("bigint").alias("hash"))
-    wanted = wanted.select(F.col("step").alias("w_step"), F.col("hash").alias("w_hash")).unionByName(
-        own.toDF("w_step", "w_hash")
-    )
-    if fits(wanted, 64):
-        wanted = F.broadcast(wanted)
-    rows = docs.select(
+    words = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.struct(*[docs[c] for c in keep]).alias("kept"),
         words_of(docs[text_col]).alias("words"),
     )
-    place = "struct<step:int,at:int,hash:bigint>"
-    places = [F.array(F.struct(F.lit(0), F.lit(-1), F.lit(0).cast("bigint")).cast(place))]
-    for step in steps:
-        places.append(_numbered(shingle_hashes(F.col("words"), step), step))
-    exploded = rows.select(
-        "row", "kept", "words", F.explode(F.flatten(F.array(*places))).alias("place")
-    )
-    first = F.greatest(F.lit(0), F.col("place.at") + shingle - window)
-    around = F.when(
-        F.col("place.at") >= 0,
-        F.slice("words", first + 1, F.col("place.at") + window - first),
-    )
-    own_row = F.col("place.at") < 0
-    found = stored(
-        exploded.join(
-            wanted,
-            (F.col("place.hash") == F.col("w_hash")) & (F.col("place.step") == F.col("w_step")),
-        ).select(
+    base = stored(
+        words.select(
             "row",
-            F.when(own_row, F.col("kept")).alias("kept"),
-            F.when(own_row, F.size("words")).alias("n_words"),
-            F.col("place.step").alias("step"),
-            F.col("place.at").alias("at"),
-            F.col("place.hash").alias("hash"),
-            around.alias("around"),
+            "kept",
+            "words",
+            F.size("words").alias("n_words"),
+            *[shingle_hashes(F.col("words"), step).alias(f"hashes_{step}") for step in steps],
         ),
-        "leak-places",
+        "leak-documents",
+    )
+    documents = base.select("row", "kept", F.col("n_words").cast("long"))
+    if not steps:
+        nothing = "row bigint, at int, n int, w_id string"
+        return documents, docs.sparkSession.createDataFrame([], nothing), windows
+    shingles = stored(_shingles(windows, steps), "leak-shingles")
+    prefix = stored(_prefixes(shingles, base, steps), "leak-prefixes")
+
+    # Places of prefix tokens alone, and where the window would have to start.
+    places = reduce(
+        DataFrame.unionByName,
+        [
+            base.select(
+                "row", "n_words", F.lit(step).alias("step"), F.posexplode(f"hashes_{step}").alias("place", "hash")
+            )
+            for step in steps
+        ],
+    )
+    start = F.col("place") - F.col("offset")
+    candidates = stored(
+        places.join(_small(prefix, 128), ["step", "hash"])
+        .where((start >= 0) & (start + F.col("n") <= F.col("n_words")))
+        .select("row", start.alias("at"), "n", "w_id"),
+        "leak-candidates",
+    )
+
+    # The words decide.
+    involved = stored(candidates.select("row").distinct(), "leak-involved")
+    texts = base.select("row", F.col("words").alias("all_words")).join(
+        _small(involved, 16), "row", "left_semi"
+    )
+    own = windows.select("w_id", "words")
+    if _bytes_of_words(own) < 32 << 20:
+        own = F.broadcast(own)
+    hits = (
+        texts.join(_small(candidates, 128), "row")
+        .select("row", "at", "n", "w_id", F.slice("all_words", F.col("at") + 1, F.col("n")).alias("all_words"))
+        .join(own, "w_id")
+        .where(F.col("all_words") == F.col("words"))
+        .select("row", "at", "n", "w_id")
     )
-    documents = found.where(F.col("at") < 0).select("row", "kept", F.col("n_words").cast("long"))
+    return documents, stored(hits, "leak-hits"), windows
+
+
+def _bytes_of_words(windows: DataFrame) -> int:
+    return windows.agg(F.sum(F.octet_length(F.array_join("words", " ")) + 128)).first()[0] or 0
+
+
+def _shingles(windows: DataFrame, steps: list[int]) -> DataFrame:
+    """Every shingle of every window: w_id, n, step, offset, hash."""
+    of_step = [
+        windows.where(F.col("step") == step).select(
+            "w_id", "n", "step", F.posexplode(shingle_hashes(F.col("words"), step)).alias("offset", "hash")
+        )
+        for step in steps
+    ]
+    return reduce(DataFrame.unionByName, of_step)
 
-    # The prefix of a window: its rarest shingle, over all documents. A shingle
-    # that no document has makes its window impossible.
-    counts = found.where(F.col("at") >= 0).groupBy("step", "hash").agg(F.count("*").alias("times"))
+
+def _prefixes(shingles: DataFrame, base: DataFrame, steps: list[int]) -> DataFrame:
+    """The prefix of each window: its rarest shingle over all documents. A shingle
+    that no document has makes its window impossible."""
+    wanted = shingles.select("step", "hash").distinct()
+    seen = reduce(
+        DataFrame.unionByName,
+        [base.select(F.lit(step).alias("step"), F.explode(f"hashes_{step}").alias("hash")) for step in steps],
+    )
+    if fits(wanted, 64):
+        seen = seen.join(F.broadcast(wanted), ["step", "hash"], "left_semi")
+    # Counted before they are dealt out, so that a common shingle is one row of a task.
+    counts = seen.groupBy("step", "hash").agg(F.count("*").alias("times"))
     ranked = Window.partitionBy("w_id").orderBy("times", "hash", "offset")
-    prefix = (
+    return (
         shingles.join(counts, ["step", "hash"], "left")
         .withColumn("times", F.coalesce("times", F.lit(0)))
         .withColumn("_rank", F.row_number().over(ranked))
         .where((F.col("_rank") == 1) & (F.col("times") > 0))
-        .select("w_id", F.col("step").alias("p_step"), F.col("hash").alias("p_hash"), "offset")
-        .join(windows.select("w_id", "words", "items", "n"), "w_id")
-    )
-    if fits(prefix, 1024):
-        prefix = F.broadcast(prefix)
-    # Where the window would start, and its part of the words around.
-    start = F.col("at") - F.col("offset")
-    inside = start - F.greatest(F.lit(0), F.col("at") + shingle - window)
-    hits = (
-        found.where(F.col("at") >= 0)
-        .join(prefix, (F.col("hash") == F.col("p_hash")) & (F.col("step") == F.col("p_step")))
-        .where((start >= 0) & (inside >= 0) & (inside + F.col("n") <= F.size("around")))
-        .where(F.slice("around", (inside + 1).cast("int"), F.col("n")) == F.col("words"))
-        .select("row", start.alias("at"), "n", "items")
+        .select("w_id", "n", "step", "hash", "offset")
     )
-    return documents, hits
 
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -194,7 +210,7 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     Repeated documents each get their row. Empty tables: no documents, no rows;
     no items, no hits. Only the columns named are read.
     """
-    documents, hits = contaminated_spans(docs, items, **options)
+    documents, hits, windows = contaminated_spans(docs, items, **options)
     before = (
         Window.partitionBy("row")
         .orderBy("at", "n")
@@ -208,7 +224,10 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
         hits.withColumn("covered", covered).groupBy("row").agg(F.sum("covered").alias("n_hit"))
     )
     found_items = (
-        hits.select("row", F.explode("items").alias("item"))
+        hits.select("row", "w_id")
+        .distinct()
+        .join(windows.select("w_id", "items"), "w_id")
+        .select("row", F.explode("items").alias("item"))
         .groupBy("row")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
@@ -224,7 +243,7 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows in which any window occurs; all columns. Cases as
     in ``contamination``."""
-    documents, hits = contaminated_spans(docs, items, keep=tuple(docs.columns), **options)
+    documents, hits, _ = contaminated_spans(docs, items, keep=tuple(docs.columns), **options)
     gone = stored(hits.select(F.col("row").alias("_gone")).distinct(), "leak-rows")
     small = F.broadcast(gone) if fits(gone, 64) else gone
     return documents.join(small, F.col("row") == F.col("_gone"), "left_anti").select("kept.*")

@@ -61,3 +61,29 @@ def test_edges(spark):
     compared(spark, docs, [])
     compared(spark, [], [(7, ten)])
     compared(spark, [(1, " ".join(f"w{i}" for i in range(30000)) + " " + ten)], [(7, ten)])
+
+
+def test_places_are_shuffled_as_numbers(spark, monkeypatch):
+    """With no broadcast at all: the same result, and no text among the places."""
+    plans = {}
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    kept = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    monkeypatch.setattr(decontaminate, "fits", lambda *args: False)
+    monkeypatch.setattr(decontaminate, "_bytes_of_words", lambda windows: 1 << 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ten = "one two three four five six seven eight nine ten"
+        docs = [(i, f"{ten} {i}") for i in range(40)] + [(50, "one two three four five"), (51, None), (52, ten * 2)]
+        compared(spark, docs, [(7, ten), (8, ten + " and more"), (9, "two three")])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("leak-prefixes", "leak-candidates"):
+        assert "Exchange" in plans[name] and "Broadcast" not in plans[name]
+        assert "words:array" not in plans[name] and "kept:struct" not in plans[name]
+    # Texts move in the last step only, once for a document with a candidate.
+    assert "kept:struct" not in plans["leak-hits"]
