@@ -100,8 +100,8 @@ def contaminated_spans(
     occurs: row, at (first word, from 0), n, w_id; and the windows: w_id, n, words,
     items.
 
-    Words and hashes of the documents are worked out once and stored. Places go
-    through a shuffle, if the windows are too many for a broadcast, as numbers only;
+    The words of the documents, most of the work, are found once and stored; shingles
+    are hashed from them when they are read. Places go through a shuffle, if the windows are too many for a broadcast, as numbers only;
     then the words of a document with a candidate go once, whatever its length."""
     windows = stored(item_windows(items, item_col, item_text_col, window, shingle), "leak-windows")
     steps = sorted(r[0] for r in windows.select("step").distinct().collect())  # two at most
@@ -110,16 +110,7 @@ def contaminated_spans(
         F.struct(*[docs[c] for c in keep]).alias("kept"),
         words_of(docs[text_col]).alias("words"),
     )
-    base = stored(
-        words.select(
-            "row",
-            "kept",
-            "words",
-            F.size("words").alias("n_words"),
-            *[shingle_hashes(F.col("words"), step).alias(f"hashes_{step}") for step in steps],
-        ),
-        "leak-documents",
-    )
+    base = stored(words.withColumn("n_words", F.size("words")), "leak-documents")
     documents = base.select("row", "kept", F.col("n_words").cast("long"))
     if not steps:
         nothing = "row bigint, at int, n int, w_id string"
@@ -132,7 +123,10 @@ def contaminated_spans(
         DataFrame.unionByName,
         [
             base.select(
-                "row", "n_words", F.lit(step).alias("step"), F.posexplode(f"hashes_{step}").alias("place", "hash")
+                "row",
+                "n_words",
+                F.lit(step).alias("step"),
+                F.posexplode(shingle_hashes(F.col("words"), step)).alias("place", "hash"),
             )
             for step in steps
         ],
@@ -184,7 +178,10 @@ def _prefixes(shingles: DataFrame, base: DataFrame, steps: list[int]) -> DataFra
     wanted = shingles.select("step", "hash").distinct()
     seen = reduce(
         DataFrame.unionByName,
-        [base.select(F.lit(step).alias("step"), F.explode(f"hashes_{step}").alias("hash")) for step in steps],
+        [
+            base.select(F.lit(step).alias("step"), F.explode(shingle_hashes(F.col("words"), step)).alias("hash"))
+            for step in steps
+        ],
     )
     if fits(wanted, 64):
         seen = seen.join(F.broadcast(wanted), ["step", "hash"], "left_semi")
