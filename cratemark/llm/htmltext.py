@@ -9,6 +9,11 @@ of link text; the base of the logarithm rises with the links of the whole page:
 The node with the largest sum of its children's densities holds the text. The
 least density on its path to the body is the threshold that other parts of the
 page have to reach to belong to it.
+
+Some elements are never part of an article, whatever their text (scripts, forms,
+``nav``). Names of classes are evidence only: an element so named is left out unless
+the measure speaks against it, because it holds most of the text that is not links,
+or, if it is named for links, has few of them.
 """
 
 from __future__ import annotations
@@ -48,13 +53,15 @@ _RAW = frozenset("script style noscript template iframe textarea title svg math
 
 _DROPPED = frozenset("nav footer aside form button select dialog menu head input".split()) | _RAW
 _HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner"
+    "header ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner"
     " cookie cookies consent gdpr notice notices notification alert popup modal overlay"
     " nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc sidebar aside widget"
-    " footer masthead comment comments commentlist disqus respond reply replies discussion reviews"
-    " share sharing social related recommended newsletter subscribe signup login search toolbar"
-    " skip skiplink".split()
+    " footer masthead newsletter subscribe signup login toolbar skip skiplink".split()
+)
+_READERS = frozenset(
+    "comment comments commentlist disqus respond reply replies discussion reviews feedback".split()
 )
+_LINKS = frozenset("share sharing social related recommended search".split())
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog".split()
 )
@@ -71,10 +78,10 @@ _PARTS = re.compile(r"[^A-Za-z0-9]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "items", "gone", "chars", "tags", "link_chars", "links", "density", "sum")
+    __slots__ = ("tag", "parent", "items", "gone", "chars", "tags", "link_chars", "links", "density", "sum", "hint", "core")
 
-    def __init__(self, tag: str, parent: _Node | None, gone: bool) -> None:
-        self.tag, self.parent, self.gone = tag, parent, gone
+    def __init__(self, tag: str, parent: _Node | None, gone: bool, hint: frozenset | None = None) -> None:
+        self.tag, self.parent, self.gone, self.hint = tag, parent, gone, hint
         self.items: list[_Node | str] = []
 
     def children(self) -> list[_Node]:
@@ -92,13 +99,22 @@ def _is_boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or name == "role" and value in _ROLES and not in_article:
             return True
-        if name in ("class", "id") and not _HINTS.isdisjoint(_PARTS.split(value)):
-            return True
-        if name in ("class", "id") and "header" in _PARTS.split(value) and not in_article:
-            return True
     return False
 
 
+def _hint(tag: str, attrs: str, in_article: bool) -> frozenset | None:
+    """The set that a word of the element's class or id is in."""
+    if not attrs or tag in _KEEP:
+        return None
+    words: set[str] = set()
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        if name.lower() in ("class", "id"):
+            words.update(_PARTS.split("".join(values).lower()))
+    if in_article:
+        words.discard("header")
+    return next((x for x in (_READERS, _HINTS, _LINKS) if not x.isdisjoint(words)), None)
+
+
 def parse(page: str) -> _Node:
     """The tree of a page; broken and cut markup is repaired as far as it matters."""
     root = _Node("html", None, False)
@@ -148,7 +164,7 @@ def parse(page: str) -> _Node:
                 outer = above if above.tag in ended else outer
                 above = above.parent
             node = outer.parent if outer is not None else node
-        fresh = _Node(tag, node, _is_boilerplate(tag, attrs, articles > 0))
+        fresh = _Node(tag, node, _is_boilerplate(tag, attrs, articles > 0), _hint(tag, attrs, articles > 0))
         node.items.append(fresh)
         if tag in _RAW and not attrs.endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -205,6 +221,28 @@ def _measure(nodes: list[_Node]) -> None:
             above.sum = getattr(above, "sum", 0.0) + node.density
 
 
+def _leave_out(nodes: list[_Node]) -> bool:
+    """Leave out what is named as no article and not measured as one; whether
+    there was any. ``nodes`` are in order and measured."""
+    for node in reversed(nodes):
+        node.core = node.tag in ("h1", "main") or node.tag == "article" and node.hint is None
+        node.core = node.core or any(x.core for x in node.children())
+    total = nodes[0].chars - nodes[0].link_chars
+    left = False
+    for node in nodes[1:]:
+        if node.hint is None:
+            continue
+        own = node.chars - node.link_chars
+        if node.hint is _LINKS:
+            kept = 3 * own > 2 * node.chars
+        else:
+            kept = node.core and 2 * own > total
+        # Readers may write much more than the article has.
+        if not kept and not (node.hint is not _READERS and 5 * own > 4 * total):
+            node.gone = left = True
+    return left
+
+
 def _selected(nodes: list[_Node]) -> list[_Node]:
     """The subtrees that make up the text, in the order of the page."""
     body = nodes[0]
@@ -220,6 +258,7 @@ def _selected(nodes: list[_Node]) -> list[_Node]:
     up = best
     while up is not body:
         if up.tag in ("article", "main"):
+            _without_links(up, threshold)
             return [up]
         up = up.parent
     chosen, inside = [], set()
@@ -234,6 +273,22 @@ def _selected(nodes: list[_Node]) -> list[_Node]:
     return chosen
 
 
+def _without_links(top: _Node, threshold: float) -> None:
+    """Leave out, within an element that holds the text, groups of blocks or links
+    that stay below the threshold and are links for the most part. Short blocks
+    of plain text stay, and so does a paragraph, heading or item with a link."""
+    for node in _ordered(top)[1:]:
+        if (
+            node.tag in _BLOCKS
+            and node.links > 1
+            and node.density < threshold
+            and 2 * node.link_chars > node.chars
+            and node.tag not in _HEADINGS
+            and node.tag not in ("p", "li", "dd", "td", "tr")
+        ):
+            node.gone = True
+
+
 def _holds(node: _Node, other: _Node) -> bool:
     while other is not None:
         if other is node:
@@ -279,6 +334,9 @@ def main_text(page: str | None) -> str:
     top = bodies[0] if bodies else root
     nodes = _ordered(top)
     _measure(nodes)
+    if _leave_out(nodes):
+        nodes = _ordered(top)
+        _measure(nodes)
     if not top.chars:
         return ""
     return "\n".join(block for node in _selected(nodes) for block in _blocks(node))
