@@ -95,9 +95,11 @@ def _landed_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_playlist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document a file, in a folder for each playlist; a supplier is one."""
+    """One document a file, in a folder for each playlist; a supplier is one. Its
+    items lie all over the table, so its pages are its own: else it would have a
+    file for each part of the table."""
     path = new_folder(spark, "playlist-files")
-    pages = adapter.playlist_documents(spark, sf_dir, "l_suppkey")
+    pages = adapter.playlist_documents(spark, sf_dir, "l_suppkey", own_pages=True)
     pages.write.option("maxRecordsPerFile", 1).partitionBy("playlist_id").text(path)
     return cm.playlists(spark, path, id_from="folder")
 

@@ -54,7 +54,11 @@ def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_tracks(
-    spark: SparkSession, sf_dir: str, id_of: Column | None = None, playlist: str = "l_orderkey"
+    spark: SparkSession,
+    sf_dir: str,
+    id_of: Column | None = None,
+    playlist: str = "l_orderkey",
+    own_pages: bool = False,
 ) -> DataFrame:
     """The tracks table plus ``playlist_id``, the second artist, and the page the
     item would be delivered on: one row per line item.
@@ -62,11 +66,17 @@ def lineitem_tracks(
     Pages cut each scan partition into runs of ``PAGE_ROWS`` rows. So a page is
     of bounded size (25 MB of JSON) however many items a playlist has, and since
     they are numbered straight off the scan, a task run again numbers them alike.
+    That suits playlists whose items lie together. ``own_pages`` is for those whose
+    items lie all over the table: each is dealt to as many pages as it needs, of
+    about ``PAGE_ROWS`` rows, so that pages are as few as the playlists allow.
     """
-    page = F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}")
+    number = F.monotonically_increasing_id()
+    page = number if own_pages else F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}")
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", page.alias("page")
     )
+    if own_pages:
+        items = _own_pages(items, playlist)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
@@ -85,15 +95,30 @@ def lineitem_tracks(
     )
 
 
+def _own_pages(items: DataFrame, playlist: str) -> DataFrame:
+    """``page``, a row's number, becomes one of its playlist's pages."""
+    key = F.col(playlist)
+    sizes = items.groupBy(key.alias("sized")).agg(
+        F.ceil(F.count("*") / PAGE_ROWS).alias("n_pages")
+    )
+    page = F.pmod(F.xxhash64("page"), F.col("n_pages"))
+    return (
+        items.join(sizes, key.eqNullSafe(F.col("sized")))
+        .withColumn("page", page)
+        .drop("sized", "n_pages")
+    )
+
+
 def tracks(spark: SparkSession, sf_dir: str, id_of: Column | None = None) -> DataFrame:
     return lineitem_tracks(spark, sf_dir, id_of).select(*TRACK_COLUMNS)
 
 
 def playlist_documents(
-    spark: SparkSession, sf_dir: str, playlist: str = "l_orderkey"
+    spark: SparkSession, sf_dir: str, playlist: str = "l_orderkey", own_pages: bool = False
 ) -> DataFrame:
     """Columns ``value`` and ``playlist_id``: playlist documents as JSON text, one
-    per playlist and page. ``playlist`` names the column that makes a playlist."""
+    per playlist and page. ``playlist`` names the column that makes a playlist,
+    ``own_pages`` how its pages are cut."""
     artists = F.array(
         F.struct(F.col("artist_name").alias("name")),
         F.struct(F.col("second_artist").alias("name")),
@@ -101,7 +126,7 @@ def playlist_documents(
     album = F.struct("album_type", "release_date", artists.alias("artists"))
     track = F.struct(F.col("track_id").alias("id"), "name", album.alias("album"))
     return (
-        lineitem_tracks(spark, sf_dir, playlist=playlist)
+        lineitem_tracks(spark, sf_dir, playlist=playlist, own_pages=own_pages)
         # Collecting shrinks nothing, so it is done after the shuffle only.
         .repartition("playlist_id", "page")
         .groupBy("playlist_id", "page")

@@ -1,9 +1,11 @@
 """The derived inputs themselves: the counts that ``FIXTURES.md`` gives."""
 
+import json
 from collections import Counter
 
 import pytest
 
+import __spark_entry__ as entry
 import cratemark as cm
 from testbed import adapter
 
@@ -37,3 +39,36 @@ def test_pages_lose_no_item(spark, monkeypatch):
     ).select("d.*")
     got = Counter(tuple(r) for r in cm.track_rows(cm.playlist_items(parsed)).collect())
     assert got == want
+
+
+def _tables(spark, folder, rows):
+    """Tables of line items (order, part, supplier), dealt over many files."""
+    items = spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint")
+    items = items.selectExpr("*", "timestamp'1995-01-02' AS l_shipdate").repartition(8)
+    items.write.option("maxRecordsPerFile", 3).parquet(f"{folder}/lineitem.parquet")
+    part = "id AS p_partkey; 'n' || id AS p_name; 'b' AS p_brand; 't' AS p_type"
+    spark.range(4).selectExpr(*part.split("; ")).write.parquet(f"{folder}/part.parquet")
+    supplier = spark.range(4).selectExpr("id AS s_suppkey", "'s' || id AS s_name")
+    supplier.write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+def test_scattered_playlists_have_as_few_pages_as_they_need(spark, tmp_path, monkeypatch):
+    rows = [(n, n % 4, n % 3) for n in range(90)] + [(1, 1, None), (2, None, 1), (None, 1, 2)]
+    sf_dir = _tables(spark, tmp_path, rows)
+    want = Counter(tuple(r) for r in adapter.tracks(spark, sf_dir).collect())
+    assert sum(want.values()) == 91
+
+    def documents():
+        return adapter.playlist_documents(spark, sf_dir, "l_suppkey", own_pages=True)
+
+    assert sorted(r.playlist_id for r in documents().collect()) == ["0", "1", "2"]
+    files = entry._landed_playlist_files(spark, sf_dir)
+    assert files.select("playlist_id").distinct().count() == len(files.inputFiles()) == 3
+    assert Counter(tuple(r) for r in cm.track_rows(cm.playlist_items(files)).collect()) == want
+
+    monkeypatch.setattr(adapter, "PAGE_ROWS", 10)
+    sizes = [len(json.loads(r.value)["items"]) for r in documents().collect()]
+    assert sum(sizes) == 91 and 3 < len(sizes) <= 12
+    files = entry._landed_playlist_files(spark, sf_dir)
+    assert Counter(tuple(r) for r in cm.track_rows(cm.playlist_items(files)).collect()) == want
