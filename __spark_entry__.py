@@ -88,9 +88,15 @@ def category_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- playlist documents -----------------------------------------------------
 
 
+# Documents repeat their keys in every item, so that most of their bytes need not be
+# written. A compressed file is one task's to read; hence a bound on its documents.
+_LANDING = {"compression": "lz4", "maxRecordsPerFile": 200_000}
+
+
 def _landed_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "playlists")
-    adapter.playlist_documents(spark, sf_dir).select("value").write.text(path)
+    texts = adapter.playlist_documents(spark, sf_dir).select("value")
+    texts.write.options(**_LANDING).text(path)
     return cm.playlists(spark, path, lines=True)
 
 
@@ -296,7 +302,7 @@ def _published_with_rejects(spark: SparkSession, sf_dir: str) -> cm.Store:
         ("features", adapter.feature_document_texts, adapter.broken_feature_texts),
     ):
         texts = good(spark, sf_dir).select("value").unionByName(broken(spark, sf_dir))
-        texts.write.text(f"{landed}/{name}")
+        texts.write.options(**_LANDING).text(f"{landed}/{name}")
     store = cm.Store(spark, new_folder(spark, "store"))
     cm.publish(
         spark,

@@ -1,7 +1,9 @@
 """The derived inputs themselves: the counts that ``FIXTURES.md`` gives."""
 
 import json
+import os
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import pytest
 
@@ -41,11 +43,11 @@ def test_pages_lose_no_item(spark, monkeypatch):
     assert got == want
 
 
-def _tables(spark, folder, rows):
+def _tables(spark, folder, rows, a_file=3):
     """Tables of line items (order, part, supplier), dealt over many files."""
     items = spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint")
     items = items.selectExpr("*", "timestamp'1995-01-02' AS l_shipdate").repartition(8)
-    items.write.option("maxRecordsPerFile", 3).parquet(f"{folder}/lineitem.parquet")
+    items.write.option("maxRecordsPerFile", a_file).parquet(f"{folder}/lineitem.parquet")
     part = "id AS p_partkey; 'n' || id AS p_name; 'b' AS p_brand; 't' AS p_type"
     spark.range(4).selectExpr(*part.split("; ")).write.parquet(f"{folder}/part.parquet")
     supplier = spark.range(4).selectExpr("id AS s_suppkey", "'s' || id AS s_name")
@@ -72,3 +74,13 @@ def test_scattered_playlists_have_as_few_pages_as_they_need(spark, tmp_path, mon
     assert sum(sizes) == 91 and 3 < len(sizes) <= 12
     files = entry._landed_playlist_files(spark, sf_dir)
     assert Counter(tuple(r) for r in cm.track_rows(cm.playlist_items(files)).collect()) == want
+
+
+def test_landed_documents_take_few_bytes(spark, tmp_path):
+    """The landed files are a fraction of the texts, which come back as they were."""
+    sf_dir = _tables(spark, tmp_path, [(n // 3, n % 4, n % 3) for n in range(6000)], 1000)
+    want = sorted(r.value for r in adapter.playlist_documents(spark, sf_dir).collect())
+    landed = entry._landed_playlists(spark, sf_dir)
+    assert sorted(r.value for r in landed.collect()) == want
+    files = [unquote(urlparse(name).path) for name in landed.inputFiles()]
+    assert sum(map(os.path.getsize, files)) < sum(map(len, want)) / 3
