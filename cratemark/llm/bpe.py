@@ -10,6 +10,10 @@ side by side in an encoding are right wherever they occur together, so the left
 side up to the window, the window, and the right side from there on are the
 encoding of the whole.
 
+Where a vocabulary's words end at spaces, a leaf is the stretches between its spaces
+side by side. A worker remembers the tokens of stretches, so that the library encodes
+only those of a leaf that are new to it.
+
 Texts beyond ``SPREAD`` characters are cut into pieces that different tasks encode,
 each by its own tree; one task per text then joins the pieces, for which it
 encodes nothing but windows.
@@ -22,7 +26,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, compress, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,35 @@ WINDOW = 8
 # Longer than any word that the pattern takes for its first characters: within a
 # word, from here on, its kind is that of its characters.
 FIXED_WORD = 4
+# Stretches between spaces, and their characters, that a worker remembers.
+REMEMBERED = 1 << 18
+REMEMBERED_CHARS = 1 << 22
+
+# Words that neither hold white space nor depend on what is beyond it, as tokenizer
+# files have them, and a normaliser that changes no more of ASCII than white space
+# and capitals.
+_APART = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_PLAIN = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_GAPS = re.compile(r"[\t-\r ]{2,}|[\t-\r]")
+_SPACES = re.compile(" {2,}")
 
 
 @dataclass
@@ -67,6 +100,81 @@ def _together(start: int, end: int, *parts: tuple[np.ndarray, ...]) -> Node:
 _NOTHING = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
 
 
+class Stretches:
+    """Tokens of the stretches between spaces that a worker has met: those of one
+    stretch after the other, and which are whose."""
+
+    def __init__(self, text):
+        self.text = text
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.starts = np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
+        self.tokens = tuple(a[:0].astype(np.int32) for a in _NOTHING[:3]) + _NOTHING[3:]
+
+    def forget(self) -> None:
+        """All that were not used more than once lately; if that is too few, all."""
+        keep = self.uses > 1
+        number = dict(zip(compress(self.number, keep), range(len(keep))))
+        chars = sum(map(len, number))
+        if 2 * len(number) > REMEMBERED or 2 * chars > REMEMBERED_CHARS:
+            keep[:], number, chars = False, {}, 0
+        counts = np.diff(self.starts)
+        held = np.repeat(keep, counts)
+        self.number, self.chars = number, chars
+        self.starts = np.append(0, np.cumsum(counts[keep]))
+        self.uses = np.zeros(len(number), np.int64)
+        self.tokens = tuple(a[held] for a in self.tokens)
+
+    def learn(self, stretches: list[str]) -> None:
+        """Encode new ones, many in one text with spaces between."""
+        sizes = np.array([len(s) for s in stretches], dtype=np.int64)
+        at = np.cumsum(sizes + 1) - sizes - 1
+        found = self.text.encode(" ".join(stretches), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int32)
+        offsets = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
+        words = np.array(found.word_ids, dtype=np.int64)
+        first = np.append(True, words[1:] != words[:-1])[: len(ids)]
+        owner = np.searchsorted(at, offsets[:, 0], side="right") - 1
+        begins, ends = (offsets - at[owner][:, None]).T
+        new = ids, begins.astype(np.int32), ends.astype(np.int32), first
+        self.tokens = tuple(np.concatenate(two) for two in zip(self.tokens, new))
+        counts = np.bincount(owner, minlength=len(stretches))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+        self.number.update(zip(stretches, range(len(self.number), len(self.number) + len(stretches))))
+        self.uses = np.append(self.uses, np.zeros(len(stretches), np.int64))
+        self.chars += int(sizes.sum())
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, ...]]:
+        """Tokens of texts, as ``Encoder`` has them."""
+        if len(self.number) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.forget()
+        split = [t.split(" ") for t in texts]
+        flat = list(chain.from_iterable(split))
+        numbers = list(map(self.number.get, flat))
+        new = [i for i, n in enumerate(numbers) if n is None]
+        if new:
+            self.learn(list(dict.fromkeys(flat[i] for i in new)))
+            for i in new:
+                numbers[i] = self.number[flat[i]]
+        numbers = np.array(numbers, dtype=np.int64)
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        # Where each stretch begins in its text.
+        many = np.array([len(s) for s in split], dtype=np.int64)
+        sizes = np.fromiter(map(len, flat), np.int64, len(flat)) + 1
+        begins = np.cumsum(sizes) - sizes
+        begins -= np.repeat(begins[np.cumsum(many) - many], many)
+        starts = self.starts[numbers]
+        counts = self.starts[numbers + 1] - starts
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1]) + np.repeat(starts - ends + counts, counts)
+        shift = np.repeat(begins, counts)
+        ids, left, right, first = (a[at] for a in self.tokens)
+        columns = ids, left + shift, right + shift, first
+        cuts = np.append(0, ends[np.cumsum(many) - 1])
+        return [tuple(a[i:j] for a in columns) for i, j in zip(cuts, cuts[1:])]
+
+
 class Encoder:
     """The parts of a tokenizer file that a tree needs: one tokenizer for text whose
     characters are normalised already, and two for single words, of which one
@@ -88,8 +196,15 @@ class Encoder:
         self.added = {added["content"]: added["id"] for added in parts["added_tokens"]}
         names = sorted(self.added, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.plain = parts["normalizer"] == _PLAIN
+        self.normal: dict[str, str] = {}
         parts |= {"normalizer": None, "added_tokens": [], "post_processor": None, "padding": None, "truncation": None}
         self.text = Tokenizer.from_str(json.dumps(parts))
+        model = parts["model"]
+        apart = parts["pre_tokenizer"] == _APART and not any(
+            model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges")
+        )
+        self.stretches = Stretches(self.text) if apart else None
         as_bytes = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         parts["pre_tokenizer"] = as_bytes
         self.word = Tokenizer.from_str(json.dumps(parts))
@@ -102,7 +217,32 @@ class Encoder:
             if part in self.added:
                 yield self.added[part]
             elif part:
-                yield self.whole.normalizer.normalize_str(part) if self.whole.normalizer else part
+                yield self.normalised(part)
+
+    def normalised(self, text: str) -> str:
+        """As the tokenizer's normaliser does. If that is plain, the library is asked
+        only for stretches with more than ASCII: no character of theirs composes with
+        white space of ASCII."""
+        if not self.plain:
+            return self.whole.normalizer.normalize_str(text) if self.whole.normalizer else text
+        text = _GAPS.sub(" ", text)
+        if text.isascii():
+            return text.lower()
+        found = []
+        for stretch in text.split(" "):
+            if stretch.isascii():
+                found.append(stretch.lower())
+                continue
+            known = self.normal.get(stretch)
+            if known is None:
+                if len(self.normal) >= REMEMBERED >> 2:
+                    self.normal.clear()
+                known = self.whole.normalizer.normalize_str(stretch)
+                if len(stretch) < 256:
+                    self.normal[stretch] = known
+            found.append(known)
+        # Other white space has become spaces too.
+        return _SPACES.sub(" ", " ".join(found))
 
     def _tokens(self, encoding, at: int, alone: bool = False) -> tuple[np.ndarray, ...]:
         """Arrays of an encoding; of a text that is not joined to any, only the ids."""
@@ -130,12 +270,16 @@ class Encoder:
     def leaves(self, spans: list[tuple[str, int, int, bool, bool]]) -> list[Node]:
         """Every (text, start, end, whether the end is open, whether this is all of the
         text), encoded on its own."""
-        found = self.text.encode_batch([s[0][s[1] : s[2]] for s in spans], add_special_tokens=False)
+        texts = [t[a:b] for t, a, b, *_ in spans]
+        if self.stretches is None:
+            found = self.text.encode_batch(texts, add_special_tokens=False)
+            tokens = [self._tokens(one, s[1], s[4]) for one, s in zip(found, spans)]
+        else:
+            few = self.stretches.of(texts) if texts else []
+            tokens = [(ids, begins + s[1], ends + s[1], first) for (ids, begins, ends, first), s in zip(few, spans)]
         return [
-            Node(a, b, *self._tokens(encoding, a, True))
-            if whole
-            else Node(a, b, *self._settled(t, self._tokens(encoding, a), b, is_open))
-            for (t, a, b, is_open, whole), encoding in zip(spans, found)
+            Node(a, b, *own) if whole else Node(a, b, *self._settled(t, own, b, is_open))
+            for (t, a, b, is_open, whole), own in zip(spans, tokens)
         ]
 
     def _kind(self, char: str) -> str:

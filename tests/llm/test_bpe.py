@@ -89,3 +89,44 @@ def test_query_against_the_library(spark):
         assert own.n_tokens == len(ids)
         assert own.ids_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert own.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_stretches_are_encoded_once(monkeypatch):
+    encode = bpe.Encoder(VOCABULARY)
+    seen = []
+    learn = bpe.Stretches.learn
+    monkeypatch.setattr(bpe.Stretches, "learn", lambda self, new: seen.extend(new) or learn(self, new))
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    rng = random.Random(3)
+    often = ["the", "don't", "ing,", "é'!1", "日本", ""]
+    for turn in range(90):
+        text = " ".join(rng.choice([*often, f"w{turn}x{n}'s"]) for n in range(12))
+        assert encode.trees([(text, False)], 4096)[0].ids.tolist() == library(text)
+        assert len(encode.stretches.number) <= 40 + 12 and len(encode.stretches.tokens[0]) < 1000
+    assert len(set(seen)) > 90
+    # What is used again and again is not forgotten with the others.
+    assert all(seen.count(word) == 1 for word in often)
+
+
+def test_normalised_as_the_library_does():
+    encode = bpe.encoder(VOCABULARY)
+    signs = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000] + ["😀", "\U0001d15e"]
+    rng = random.Random(4)
+    texts = [f"A {c}́ B{c}\t{c}\n {c}" for c in signs]
+    texts += ["".join(rng.choice(["A", " ", "\n", " ", "é", "e", "́", "Σ", "\x1c"]) for _ in range(9)) for _ in range(900)]
+    for text in texts:
+        assert encode.normalised(text) == encode.whole.normalizer.normalize_str(text), repr(text)
+
+
+def test_other_tokenizers_ask_the_library(tmp_path):
+    # Words that take the space before them are not looked up between spaces.
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    names = [*pre_tokenizers.ByteLevel.alphabet(), "Ġa", "Ġab"]
+    own = Tokenizer(models.BPE({n: i for i, n in enumerate(names)}, [("Ġ", "a"), ("Ġa", "b")]))
+    own.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    own.save(str(path := tmp_path / "own.json"))
+    encode = bpe.Encoder(str(path))
+    assert encode.stretches is None and not encode.plain
+    text = "ab ab A  ab"
+    assert encode.trees([(encode.normalised(text), False)], 4096)[0].ids.tolist() == own.encode(text).ids
