@@ -19,6 +19,7 @@ text is scored by adding up table entries.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -362,10 +364,22 @@ def train(
     sample = docs.select(docs[id_col].alias("_doc"), docs[text_col].alias("_text")).join(
         F.broadcast(picked), F.col("_doc") == F.col("_id")
     )
-    # One text of each id, so that repeated ids do not grow what the driver gets.
+    # One text of each id, so that repeated ids do not grow what is trained on.
     texts = sample.groupBy("_place", "_id", "_label").agg(F.min(F.coalesce("_text", F.lit(""))).alias("_text"))
-    rows = sorted(texts.collect(), key=lambda r: (r["_place"], str(r["_id"])))
-    return fit([r["_text"] for r in rows], [r["_label"] for r in rows])
+    found = texts.repartition(1).mapInArrow(_trained(fit), "model binary").first()
+    return fit([], []) if found is None else pickle.loads(bytes(found["model"]))
+
+
+def _trained(fit: Callable[[list[str], list[int]], Model]):
+    """The model of a bounded sample, in a task: texts, and the memory that training
+    takes, are no burden to the driver, which gets one table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["_place"], str(r["_id"])))
+        model = fit([r["_text"] for r in rows], [r["_label"] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    return run
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -121,3 +122,11 @@ def test_repeated_ids_teach_once(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     monkeypatch.setattr(toxicity, "fit", lambda texts, y: sorted(zip(texts, y)))
     assert toxicity.train(docs, labels) == [("", 0), ("other", 0), ("text 0", 1)]
+
+
+def test_training_is_no_burden_to_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: (os.getpid(), len(texts), sum(y)))
+    process, *counts = toxicity.train(docs, labels)
+    assert process != os.getpid() and counts == [9, 4]
