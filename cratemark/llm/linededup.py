@@ -23,6 +23,13 @@ MIN_CHARS = 10
 MIN_LINES = 1
 
 
+def _joined(left: DataFrame, right: DataFrame, on: Column | list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting both sides. Stored tables of numbers are few bytes in a file,
+    exploded ones few before that, but not in memory: Spark, which goes by these
+    bytes, would broadcast them and so take them into the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _in_order(df: DataFrame, keys: list[str | Column], name: str) -> DataFrame:
     """Adds ``name``, a number that rises with ``keys``: partitions hold ranges of
     the keys, and numbers rise within partitions and from one to the next."""
@@ -43,7 +50,7 @@ def _ranked(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     ranks = stored(_in_order(intervals, ["left", "right"], "rank"), "lines-ranks")
     named = ranks.select(F.col("left").alias("_l"), F.col("right").alias("_r"), "rank", "first")
-    found = blocks.join(named, (F.col("left") == F.col("_l")) & (F.col("right") == F.col("_r")))
+    found = _joined(blocks, named, (F.col("left") == F.col("_l")) & (F.col("right") == F.col("_r")))
     return stored(found.select("row", "line", "pos", "rank", "first"), "lines-suffixes")
 
 
@@ -61,7 +68,7 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
         .select(F.col("key1").alias("_k1"), F.col("key2").alias("_k2"))
     )
     # Lines that occur once end every run, so only the others go on.
-    active = lines.join(keys, (F.col("key1") == F.col("_k1")) & (F.col("key2") == F.col("_k2")))
+    active = _joined(lines, keys, (F.col("key1") == F.col("_k1")) & (F.col("key2") == F.col("_k2")))
     active = stored(active.select("row", "line", "order", "key1", "key2"), "lines-active")
     placed = stored(
         _in_order(active, [F.col("order").asc_nulls_last(), "row", "line"], "pos"), "lines-placed"
@@ -78,7 +85,7 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
             F.col("rank").alias("right"),
         )
         suffixes = _ranked(
-            suffixes.join(ahead, (F.col("row") == F.col("_row")) & (F.col("line") == F.col("_line")))
+            _joined(suffixes, ahead, (F.col("row") == F.col("_row")) & (F.col("line") == F.col("_line")))
             .select("row", "line", "pos", F.col("rank").alias("left"), "right")
         )
     if not rounds:
@@ -110,7 +117,7 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
         & (F.lag("source_line").over(before) == F.col("source_line") - 1)
     )
     runs = stored(
-        deepest.join(where, F.col("first") == F.col("_pos"))
+        _joined(deepest, where, F.col("first") == F.col("_pos"))
         .withColumn("_inner", F.coalesce(goes_on, F.lit(False)))
         .where(~F.col("_inner"))
         .select("row", "line", "level", "source_row", "source_line")
@@ -123,12 +130,15 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
             F.col("row").alias("_row"), F.col("line").alias("_line"), F.col("rank").alias("_rank")
         )
         open_runs = runs.where(F.col("level") > level)
-        at = open_runs.join(
-            ranks, (F.col("row") == F.col("_row")) & (F.col("line") + F.col("n_lines") == F.col("_line"))
+        at = _joined(
+            open_runs,
+            ranks,
+            (F.col("row") == F.col("_row")) & (F.col("line") + F.col("n_lines") == F.col("_line")),
         ).drop("_row", "_line")
         there = ranks.withColumnRenamed("_rank", "_source_rank")
         alike = (
-            at.join(
+            _joined(
+                at,
                 there,
                 (F.col("source_row") == F.col("_row"))
                 & (F.col("source_line") + F.col("n_lines") == F.col("_line"))
@@ -137,8 +147,8 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
             .select(F.col("row").alias("_row"), F.col("line").alias("_line"))
         )
         runs = stored(
-            runs.join(
-                alike, (F.col("row") == F.col("_row")) & (F.col("line") == F.col("_line")), "left"
+            _joined(
+                runs, alike, (F.col("row") == F.col("_row")) & (F.col("line") == F.col("_line")), "left"
             )
             .withColumn(
                 "n_lines", F.col("n_lines") + F.when(F.col("_row").isNotNull(), 1 << level).otherwise(0)
@@ -198,14 +208,14 @@ def dedup_lines(
     lines = stored(_lines(base.where(F.col("text").isNotNull())), "lines-lines")
     runs = repeated_runs(lines)
     # A run's characters, from the lengths of its lines.
+    each_line = runs.select(
+        "row",
+        F.col("line").alias("start"),
+        "n_lines",
+        F.explode(F.sequence(F.col("line"), F.col("line") + F.col("n_lines") - 1)).alias("line"),
+    )
     of_run = (
-        runs.select(
-            "row",
-            F.col("line").alias("start"),
-            "n_lines",
-            F.explode(F.sequence(F.col("line"), F.col("line") + F.col("n_lines") - 1)).alias("line"),
-        )
-        .join(lines.select("row", "line", "chars"), ["row", "line"])
+        _joined(each_line, lines.select("row", "line", "chars"), ["row", "line"])
         .groupBy("row", "start", "n_lines")
         .agg(F.sum("chars").alias("chars"))
         .where((F.col("chars") >= min_chars) & (F.col("n_lines") >= min_lines))
@@ -216,8 +226,7 @@ def dedup_lines(
         .withColumnRenamed("row", "_row"),
         "lines-spans",
     )
-    # Few bytes in a file, but not in memory: the spans are never broadcast.
-    joined = base.join(spans.hint("merge"), F.col("row") == F.col("_row"), "left")
+    joined = _joined(base, spans, F.col("row") == F.col("_row"), "left")
     gone = F.flatten(
         F.transform(
             "spans", lambda s: F.sequence(s["start"] + 1, s["start"] + s["n_lines"])

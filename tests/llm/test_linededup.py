@@ -85,3 +85,27 @@ def test_empty_table_and_long_text(spark):
     long_text = "\n".join(f"line number {i} of a long text" for i in range(3000))
     found = deduped(spark, [(1, long_text), (2, long_text + "\nits own last line")])
     assert found[1] == long_text and found[2] == "its own last line"
+
+
+def test_no_table_of_lines_is_broadcast(spark, monkeypatch):
+    """Whatever Spark takes the sizes of stored and exploded tables for, no join
+    brings one into the driver."""
+    plans = []
+    kept = linededup.stored
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(linededup, "stored", lambda df, name: kept(planned(df), name))
+    text = "\n".join(f"line number {i} of a text" for i in range(40))
+    rows = [(1, text), (2, text), (3, "own line of three\n" + text + "\nand its end"), (4, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = {r.doc_id: r.text for r in planned(linededup.dedup_lines(docs)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {1: text, 2: "", 3: "own line of three\nand its end", 4: None}
+    assert any("SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
